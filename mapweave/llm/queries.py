@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, sharding, simhash, warc
+from . import bpe, fertility, packing, sharding, simhash, warc
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.rated(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_fertility": op4_fertility,
     "op5_simhash": op5_simhash,
     "op6_bpe": op6_bpe,
     "op8_warc": op8_warc,
