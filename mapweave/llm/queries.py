@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, packing, sharding, simhash, warc
+from . import bpe, fertility, html_extract, licenses, packing, sharding, simhash, warc
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -29,6 +33,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -38,10 +46,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_fertility": op4_fertility,
     "op5_simhash": op5_simhash,
     "op6_bpe": op6_bpe,
+    "op7_licenses": op7_licenses,
     "op8_warc": op8_warc,
     "op10_sharding": op10_sharding,
 }
