@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, html_extract, licenses, packing, sharding, simhash, warc
+from . import bpe, fertility, html_extract, licenses, packing, sharding, simhash, substrings, warc
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_licenses": op7_licenses,
     "op8_warc": op8_warc,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 

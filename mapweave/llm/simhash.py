@@ -228,3 +228,108 @@ def classes(docs: DataFrame, width: int = 3, bits: int = 3) -> DataFrame:
     least = own.groupBy("root").agg(F.min("first").cast(kind).alias("component_id"))
     found = own.join(least, "root").select("fp", "component_id")
     return rows.join(found, "fp").select("doc_id", "fingerprint", "component_id")
+
+
+#: For whole corpora at a similarity of 0.8 of five-word shingles: words of a fingerprint, segments, bits that may differ.
+LANES, SEGMENTS, NEAR_BITS = 4, [(64 * lane + at, 24) for lane in range(4) for at in (0, 24)] + [(48, 16), (112, 16)], 44
+#: Nodes of a key up to which all pairs are verified by a join; with more they are compared within the key's task.
+FEW = 8
+
+
+def _long_index(rows: DataFrame, segments: list[tuple[int, int]]) -> DataFrame:
+    """key, node of every segment's variants of fingerprints of several words."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                keys = variant_keys(_words(part.column("fp")), segments)
+                node = part.column("node").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(node, keys.shape[1]))], ["key", "node"])
+
+    return shared.map_arrow(rows.select("node", "fp"), step, "key long, node long")
+
+
+def _words(fps: pa.Array) -> np.ndarray:
+    """(n, words) of equally long binary fingerprints, the lowest bits first."""
+    raw = b"".join(fps.to_pylist())
+    return np.frombuffer(raw, ">u8").astype(np.uint64).reshape(len(fps), -1) if len(fps) else np.empty((0, 1), np.uint64)
+
+
+def _sorted_out(index: DataFrame) -> DataFrame:
+    """Of keys with few nodes all pairs (a, b); of the others the rows (key, a)."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: set[tuple[int, int]] = set()
+
+        def out() -> pa.RecordBatch:
+            pairs = np.array(sorted(held), np.int64).reshape(-1, 2)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
+
+        for key, (node,), partial in runs(batches, 1_000_000):
+            if partial or len(node) > FEW:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), key, np.int64)), pa.array(node), pa.nulls(len(node), pa.int64())], ["key", "a", "b"])
+                continue
+            nodes = sorted(node.tolist())
+            held.update((x, y) for k, x in enumerate(nodes) for y in nodes[k + 1 :])
+            if len(held) > HELD:
+                yield out()
+        yield out()
+
+    return shared.map_arrow(index.repartition("key").sortWithinPartitions("key"), step, "key long, a long, b long")
+
+
+def _verified(pairs: DataFrame, bits: int) -> DataFrame:
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = _linked(_words(batch.column("x")), _words(batch.column("y")), bits)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return shared.map_arrow(pairs.select("a", "b", "x", "y"), step, "a long, b long")
+
+
+def _crowds(rows: DataFrame, bits: int) -> DataFrame:
+    """Links among the nodes of each key; of more than CROWD nodes each further part meets one node of each component so far."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        of, nodes, words = None, np.empty(0, np.int64), np.empty((0, 1), np.uint64)
+        for key, (node, fp), partial in runs(batches, CROWD):
+            own = _words(pa.array(fp.tolist(), pa.binary()))
+            if partial and of == key:
+                node, own = np.concatenate([nodes, node]), np.concatenate([words, own])
+            if len(node) > 1:
+                link_run(node, own, bits, forest)
+            if partial:
+                first = np.unique([forest.root(int(x)) for x in node], return_index=True)[1]
+                of, nodes, words = key, node[first], own[first]
+            elif len(forest.up) > HELD:
+                yield forest.stars()
+                forest = Forest()
+        yield forest.stars()
+
+    return shared.map_arrow(rows.repartition("key").sortWithinPartitions("key"), step, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, bits: int = NEAR_BITS) -> DataFrame:
+    """doc_id and component_id of the documents whose component has a smaller doc_id; without null doc_ids."""
+    rows = fingerprints(docs.where(F.col("doc_id").isNotNull()), width, LANES)
+    rows = shared.materialize(rows.withColumn("node", F.xxhash64("fp")), "fingerprints")
+    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp")), "distinct")
+    met = shared.materialize(_sorted_out(_long_index(distinct, SEGMENTS)), "met")
+    fps = distinct.select("node", "fp")
+    pairs = met.where("key IS NULL").select("a", "b").distinct()
+    pairs = pairs.join(fps.toDF("a", "x"), "a").join(fps.toDF("b", "y"), "b")
+    crowds = met.where("key IS NOT NULL").select("key", F.col("a").alias("node")).join(fps, "node").select("key", "node", "fp")
+    roots = components(_verified(pairs, bits).union(_crowds(crowds, bits)))
+    own = distinct.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    least = own.groupBy("root").agg(F.min("first").alias("component_id"))
+    found = own.join(least, "root").select("node", "component_id")
+    return rows.join(found, "node").where("doc_id > component_id").select("doc_id", "component_id").distinct()
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """docs without those whose component of near duplicates has a smaller doc_id. Null doc_ids stay; rows that repeat
+    a doc_id stay or go together."""
+    return docs.join(near_duplicates(docs).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
