@@ -231,7 +231,7 @@ def classes(docs: DataFrame, width: int = 3, bits: int = 3) -> DataFrame:
 
 
 #: For whole corpora at a similarity of 0.8 of five-word shingles: words of a fingerprint, segments, bits that may differ.
-LANES, SEGMENTS, NEAR_BITS = 4, [(64 * lane + at, 24) for lane in range(4) for at in (0, 24)] + [(48, 16), (112, 16)], 44
+LANES, SEGMENTS, NEAR_BITS = 5, [(64 * lane + at, 24) for lane in range(5) for at in (0, 24)], 55
 #: Nodes of a key up to which all pairs are verified by a join; with more they are compared within the key's task.
 FEW = 8
 
