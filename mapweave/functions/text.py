@@ -122,7 +122,8 @@ def percent(part: Column, whole: Column) -> Column:
 def unit(vector: Column) -> Column:
     """The vector over its length; a zero vector as it is."""
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(norm == 0, vector).otherwise(F.transform(vector, lambda x: x / norm))
+    over = F.when(norm == 0, 1.0).otherwise(norm)
+    return F.transform(vector, lambda x: x / over)
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -60,8 +60,8 @@ def by_blocks(rows: DataFrame, settings: Settings, cross: bool = True, n_rows: i
     n_blocks = max(1, -(-(n_rows if n_rows is not None else rows.count()) // BLOCK))
     packed = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block")).agg(F.collect_list(F.struct("id", "framework", "doc", "v")).alias("rows"))
     # Each block meets each other one: that is the exact search itself, block by block.
-    met = packed.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("long").alias("other"), F.col("rows").alias("left"))
-    met = met.repartition(min(n_blocks * n_blocks, 4096), "other", F.xxhash64("left.id")).join(packed.select(F.col("block").alias("other"), F.col("rows").alias("right")), "other")
+    left = packed.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("other"), F.col("rows").alias("left"))
+    met = left.join(packed.select(F.col("block").cast("long").alias("other"), F.col("rows").alias("right")), "other")
     k_cross, k_intra, intra = settings.k, settings.intra_k, set(settings.intra)
 
     def unpacked(cell: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

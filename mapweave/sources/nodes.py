@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as S
 
 from mapweave import schemas
 
-_NODE = S._parse_datatype_string(schemas.NODES.replace("extra map<string,string>", "extra string"))
-_KNOWN = {f.name for f in _NODE.fields}
+_NODE = schemas.NODES.replace("extra map<string,string>", "extra string")
+_KNOWN = {field.split()[0] for field in _NODE.split(", ")}
 _REQUIRED = ("id", "framework", "version", "native_ref", "node_type", "title", "raw_text")
 
 
