@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, html_extract, licenses, packing, sharding, simhash, substrings, warc
+from . import audio, bpe, fertility, html_extract, licenses, packing, sharding, simhash, substrings, warc
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,11 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
 
+def op2_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table has recordings: each vector is rendered as a melody first."""
+    return audio.searched(audio.rendered(table(spark, sf_dir, "embeddings")))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -51,6 +56,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op2_chroma": op2_chroma,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_fertility": op4_fertility,
     "op5_simhash": op5_simhash,
