@@ -19,8 +19,10 @@ def read_json(spark: SparkSession, paths: list[str] | str, schema: str = schemas
     inner = F.try_variant_get("v", "$.judgments", "variant")
     kind = F.schema_of_variant("v")
     array = F.when(kind.startswith("ARRAY"), F.col("v")).when(kind.startswith("OBJECT") & inner.isNotNull(), inner)
-    items = F.when(array.isNotNull(), F.transform(F.try_variant_get(array, "$", "array<variant>"), F.to_json)).when(kind.startswith("OBJECT"), F.array("text"))
     per_line = F.filter(F.transform(T.lines(F.col("text")), T.trim), lambda x: F.length(x) > 0)
+    is_lines = (F.size(per_line) > 1) & F.try_parse_json(F.get(per_line, 0)).isNotNull()
+    items = F.when(array.isNotNull() & ~is_lines, F.transform(F.try_variant_get(array, "$", "array<variant>"), lambda v: F.to_json(v)))
+    items = items.when(kind.startswith("OBJECT") & ~is_lines, F.array("text"))
     rows = whole.select("file", F.posexplode(F.coalesce(items, per_line)).alias("pos", "json"))
     fields = schema.replace("confidence double", "confidence string")
     out = rows.select("file", "pos", F.from_json("json", fields).alias("j")).select("file", "pos", "j.*")
