@@ -135,7 +135,7 @@ def key_values(pairs: list[str], flag: str) -> dict[str, str]:
     out = {}
     for pair in pairs:
         key, found, value = pair.partition("=")
-        if not found or not key or not value:
+        if not found:
             raise ValueError(f"{flag} takes KEY=VALUE, not {pair!r}")
-        out[key] = value
+        out[key.strip()] = value.strip()
     return out

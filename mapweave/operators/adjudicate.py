@@ -119,22 +119,22 @@ def repaired(judgments: DataFrame) -> DataFrame:
 def downgraded(judgments: DataFrame, downgrades: DataFrame, seq: str | None = None) -> DataFrame:
     """Verifier results over judgments: by the four-column key, in that orientation; of several the last (by seq) counts.
 
-    A new relation caps the confidence and is noted in the rationale; a new conflict flag is set and noted.
+    A relation that changes caps the confidence and is noted in the rationale; a conflict flag that changes is set and noted.
     """
     down = repaired(downgrades).drop("n_repaired", "verdict")
     down = latest(down, KEY, seq) if seq else down.dropDuplicates(KEY)
     joined = judgments.join(down.withColumn("_hit", F.lit(True)), KEY, "left")
     hit, cap = F.coalesce("_hit", F.lit(False)), F.lit(schemas.DOWNGRADE_CONFIDENCE)
-    changes = hit & F.col("new_relation").isNotNull()
-    flags = hit & F.col("new_conflict").isNotNull()
+    changes = hit & F.coalesce((F.length("new_relation") > 0) & (F.col("new_relation") != F.col("relation")), F.lit(False))
+    flags = hit & F.col("new_conflict").isNotNull() & (F.coalesce("conflict", F.lit(False)) != F.col("new_conflict"))
     note = F.coalesce("note", F.lit(""))
     rationale = F.col("rationale")
-    rationale = F.when(changes, F.concat(rationale, F.lit(" [downgraded from "), F.col("relation"), F.lit(": "), note, F.lit("]"))).otherwise(rationale)
-    rationale = F.when(flags & ~changes, F.concat(rationale, F.lit(" [conflict revised: "), note, F.lit("]"))).otherwise(rationale)
+    rationale = F.when(changes, F.concat(rationale, F.lit(" [downgraded from "), F.col("relation"), F.lit(" by verifier: "), note, F.lit("]"))).otherwise(rationale)
+    rationale = F.when(flags & ~changes, F.concat(rationale, F.lit(" [conflict flag revised by verifier: "), note, F.lit("]"))).otherwise(rationale)
     return joined.select(
         *KEY, F.when(changes, F.col("new_relation")).otherwise(F.col("relation")).alias("relation"),
         F.when(changes, F.least(F.col("confidence"), cap)).otherwise(F.col("confidence")).alias("confidence"), rationale.alias("rationale"),
-        F.when(flags, F.col("new_conflict")).otherwise(F.col("conflict")).alias("conflict"), changes.alias("downgraded"),
+        F.when(flags, F.col("new_conflict")).otherwise(F.col("conflict")).alias("conflict"), (changes | flags).alias("downgraded"),
         *(c for c in judgments.columns if c not in {*KEY, "relation", "confidence", "rationale", "conflict"}))
 
 

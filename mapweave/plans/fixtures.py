@@ -101,7 +101,7 @@ downgrades AS (SELECT source_fw, source_ref, target_fw, target_ref, CASE WHEN re
     FROM repaired WHERE h % 3 = 0 AND (relation = 'EQUIVALENT' OR (relation = 'PARTIAL' AND confidence >= 0.8))),
 merged AS (SELECT j.source_fw, j.source_ref, j.target_fw, j.target_ref, coalesce(d.new_relation, j.relation) AS relation,
     CASE WHEN d.new_relation IS NOT NULL THEN least(j.confidence, 0.75) ELSE j.confidence END AS confidence,
-    CASE WHEN d.new_relation IS NOT NULL THEN j.rationale || ' [downgraded from ' || j.relation || ': ' || d.note || ']' ELSE j.rationale END AS rationale, j.conflict, d.new_relation IS NOT NULL AS downgraded
+    CASE WHEN d.new_relation IS NOT NULL THEN j.rationale || ' [downgraded from ' || j.relation || ' by verifier: ' || d.note || ']' ELSE j.rationale END AS rationale, j.conflict, d.new_relation IS NOT NULL AS downgraded
     FROM repaired j LEFT JOIN downgrades d USING (source_fw, source_ref, target_fw, target_ref))"""
 
 

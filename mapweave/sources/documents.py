@@ -68,7 +68,7 @@ def nested_nodes(docs: DataFrame, framework: str = "CAF", version: str = "4.0")
     fw, ver = F.lit(framework), F.coalesce(F.col("version"), F.lit(version))
 
     def level(rows: DataFrame, item: str, kind: str, parent: Column) -> DataFrame:
-        title, body = T.squeeze(F.col(f"{item}.title")), T.squeeze(F.coalesce(F.col(f"{item}.description"), F.lit("")))
+        title, body = T.trim(F.col(f"{item}.title")), T.trim(F.coalesce(F.col(f"{item}.description"), F.lit("")))
         return rows.select(
             T.node_id(fw, ver, F.col(f"{item}.ref")).alias("id"), fw.alias("framework"), ver.alias("version"), F.col(f"{item}.ref").alias("native_ref"), F.lit(kind).alias("node_type"),
             title.alias("title"), F.when(F.length(body) > 0, body).otherwise(title).alias("raw_text"), parent.alias("parent_id"), F.create_map().cast("map<string,string>").alias("extra"))
@@ -77,11 +77,13 @@ def nested_nodes(docs: DataFrame, framework: str = "CAF", version: str = "4.0")
     principles = objectives.select("version", "o", F.explode("o.principles").alias("p"))
     outcomes = principles.select("version", "p", F.explode("p.outcomes").alias("c"))
     igps = outcomes.select("version", "c", F.explode("c.igps").alias("level", "texts")).select("version", "c", "level", F.posexplode("texts").alias("at", "text"))
-    ref = F.concat(F.col("c.ref"), F.lit("."), F.col("level"), F.lit("."), (F.col("at") + 1).cast("string"))
-    text = T.squeeze(F.col("text"))
+    place = (F.col("at") + 1).cast("string")
+    ref = F.concat_ws("#", F.col("c.ref"), F.col("level"), place)
+    title = F.concat(F.col("c.ref"), F.lit(" IGP ("), F.col("level"), F.lit(" "), place, F.lit(")"))
+    text = T.trim(F.col("text"))
     leaves = igps.select(
-        T.node_id(fw, ver, ref).alias("id"), fw.alias("framework"), ver.alias("version"), ref.alias("native_ref"), F.lit("igp").alias("node_type"), T.title_of(text).alias("title"), text.alias("raw_text"),
-        T.node_id(fw, ver, F.col("c.ref")).alias("parent_id"), F.create_map(F.lit("igp_level"), F.col("level")).alias("extra"))
+        T.node_id(fw, ver, ref).alias("id"), fw.alias("framework"), ver.alias("version"), ref.alias("native_ref"), F.lit("igp").alias("node_type"), title.alias("title"), F.when(F.length(text) > 0, text).otherwise(title).alias("raw_text"),
+        T.node_id(fw, ver, F.col("c.ref")).alias("parent_id"), F.create_map(F.lit("igp_status"), F.col("level")).alias("extra"))
     out = level(objectives, "o", "objective", F.lit(None).cast("string"))
     out = out.unionByName(level(principles, "p", "principle", T.node_id(fw, ver, F.col("o.ref"))))
     return out.unionByName(level(outcomes, "c", "outcome", T.node_id(fw, ver, F.col("p.ref")))).unionByName(leaves)

@@ -65,7 +65,7 @@ def read_workbooks(spark: SparkSession, path: str, header_row: int = HEADER_ROW)
 def legs(rows: DataFrame, framework: str, style: str = "iso") -> DataFrame:
     """framework, scf_id, ref, name, rel, sor of the sheet rows that map something."""
     clean = rows.select(*(T.squeeze(F.col(c)).alias(c) for c in ("scf_id", "ref", "name", "rel", "sor")))
-    good = T.filled(F.col("rel")) & (F.lower("rel") != "no relationship") & T.filled(F.col("scf_id")) & (F.upper("scf_id") != "N/A")
+    good = T.filled(F.col("rel")) & (F.col("rel") != "No Relationship") & T.filled(F.col("scf_id")) & (F.col("scf_id") != "N/A")
     return clean.where(good).select(F.lit(framework).alias("framework"), "scf_id", T.ref_style(style)(F.col("ref")).alias("ref"), "name", "rel", T.digits(F.col("sor")).alias("sor"))
 
 
