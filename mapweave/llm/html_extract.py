@@ -235,43 +235,61 @@ def aligned(page: str, wrapper: str) -> tuple[int, ...]:
     return tuple(out)
 
 
-_PARSED = "_row long, page_id {kind}, url string, host string, skeleton string, nodes array<int>, inside array<boolean>, hashes array<long>, texts array<string>"
+#: Rows up to which a table of constant texts, or of the blocks they take out, is sent to every executor; a larger one is joined by a shuffle.
+SMALL_ROWS = 100_000
+
+
+def _host(url: str | None) -> str:
+    return (re.match(r"[a-z+.-]*://([^/?#]*)", url or "", re.I) or ["", ""])[1].lower()
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _keyed(pages: DataFrame) -> DataFrame:
+    """page_id, url, html and a key that equal rows share."""
+    return pages.select("page_id", "url", "html", F.xxhash64("url", "html", F.col("url").isNull(), F.col("html").isNull()).alias("key"))
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
+    """key, host, skeleton and of each block its node, whether it is in an article, and the hash of its text."""
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "html"):
             found = [Page(x or "") for x in part.column("html").to_pylist()]
-            hosts = [(re.match(r"[a-z+.-]*://([^/?#]*)", u or "", re.I) or ["", ""])[1].lower() for u in part.column("url").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                part.column("_row"), part.column("page_id"), part.column("url"), pa.array(hosts, pa.string()),
-                pa.array([p.skeleton() for p in found], pa.string()),
+                part.column("key"), pa.array([_host(u) for u in part.column("url").to_pylist()], pa.string()), pa.array([p.skeleton() for p in found], pa.string()),
                 pa.array([[b[0] for b in p.blocks] for p in found], pa.list_(pa.int32())),
                 pa.array([[b[1] for b in p.blocks] for p in found], pa.list_(pa.bool_())),
-                pa.array([[xxhash.xxh3_64_intdigest(b[2]) - (1 << 63) for b in p.blocks] for p in found], pa.list_(pa.int64())),
-                pa.array([[b[2] for b in p.blocks] for p in found], pa.list_(pa.string())),
-            ], ["_row", "page_id", "url", "host", "skeleton", "nodes", "inside", "hashes", "texts"])
+                pa.array([[_hash(b[2]) for b in p.blocks] for p in found], pa.list_(pa.int64())),
+            ], ["key", "host", "skeleton", "nodes", "inside", "hashes"])
 
-    rows = pages.select(F.monotonically_increasing_id().alias("_row"), "page_id", "url", "html")
-    return shared.map_arrow(rows, step, _PARSED.format(kind=rows.schema["page_id"].dataType.simpleString()))
+    return shared.map_arrow(_keyed(pages).drop("page_id"), step, "key long, host string, skeleton string, nodes array<int>, inside array<boolean>, hashes array<long>")
 
 
 def _slots(rows: DataFrame) -> DataFrame:
-    """_row, at, host, slot, hash, inside, left, right of every block, after alignment with the host's wrapper."""
+    """key, at, host, inside, text (hash of slot and text), left and right (hashes of the neighbours) of every block."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                to = aligned(r["skeleton"], r["wrapper"])
-                hashes = r["hashes"]
+                to, hashes = aligned(r["skeleton"], r["wrapper"]), r["hashes"]
+                host = _hash(r["host"])
                 for at, (node, inside, h) in enumerate(zip(r["nodes"], r["inside"], hashes, strict=True)):
-                    out.append((r["_row"], at, r["host"], to[node] if node >= 0 else -1, h, inside, hashes[at - 1] if at else 0, hashes[at + 1] if at + 1 < len(hashes) else 0))
-            columns = list(zip(*out, strict=True)) or [()] * 8
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["_row", "at", "host", "slot", "hash", "inside", "left", "right"])
+                    slot = to[node] if node >= 0 else -1
+                    out.append((r["key"], at, host, inside, _hash(f"{slot} {h}"), hashes[at - 1] if at else 0, hashes[at + 1] if at + 1 < len(hashes) else 0))
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "at", "host", "inside", "text", "left", "right"])
+
+    return shared.map_arrow(rows, step, "key long, at int, host long, inside boolean, text long, left long, right long")
+
 
-    return shared.map_arrow(rows, step, "_row long, at int, host string, slot int, hash long, inside boolean, left long, right long")
+def _joinable(rows: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is counted to be small."""
+    return F.broadcast(rows) if rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else rows
 
 
 def extracted(pages: DataFrame, share: float = 0.6, least: int = 5, share_inside: float = 0.9, least_inside: int = 10) -> DataFrame:
@@ -283,17 +301,33 @@ def extracted(pages: DataFrame, share: float = 0.6, least: int = 5, share_inside
     parsed = shared.materialize(_parsed(pages), "pages")
     trees = parsed.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
     wrappers = trees.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"))
-    sizes = parsed.groupBy("host").agg(F.approx_count_distinct(F.xxhash64("hashes"), 0.02).alias("n_pages"))
-    small = parsed.select("_row", "host", "skeleton", "nodes", "inside", "hashes").where(F.size("nodes") > 0)
-    slots = shared.materialize(_slots(small.join(wrappers, "host")), "slots")
-    seen = slots.groupBy("host", "slot", "inside", "hash").agg(F.approx_count_distinct("left", 0.02).alias("l"), F.approx_count_distinct("right", 0.02).alias("r"), F.count(F.lit(1)).alias("n"))
-    seen = seen.where(F.col("n") >= least).join(sizes, "host")
+    slots = shared.materialize(_slots(parsed.where(F.size("nodes") > 0).join(wrappers, "host")), "slots")
+    sizes = parsed.select("host", F.xxhash64("hashes").alias("page")).groupBy("host").agg(F.approx_count_distinct("page", 0.02).alias("n_pages"))
+    sizes = shared.map_arrow(sizes, _hashed_host, "host long, n_pages long")
+    cell = ["host", "text", "inside"]
+    often = slots.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.min("left").alias("l0"), F.max("left").alias("l1"), F.min("right").alias("r0"), F.max("right").alias("r1"))
+    often = shared.materialize(often.where(F.col("n") >= least).where("l0 <> l1 OR r0 <> r1").select(*cell), "often")
+    seen = slots.join(_joinable(often), cell).groupBy(*cell).agg(F.approx_count_distinct("left", 0.02).alias("l"), F.approx_count_distinct("right", 0.02).alias("r"))
     enough = F.greatest(F.when(F.col("inside"), share_inside).otherwise(share) * F.col("n_pages"), F.when(F.col("inside"), least_inside).otherwise(least))
-    constant = seen.where(F.greatest("l", "r") >= enough).select("host", "slot", "inside", "hash")
-    gone = slots.join(constant, ["host", "slot", "inside", "hash"], "left_semi").groupBy("_row").agg(F.collect_set("at").alias("gone"))
-    out = parsed.select("_row", "page_id", "url", "texts", F.exists("inside", lambda x: x).alias("_article"), "inside").join(gone, "_row", "left")
-    keep = F.filter(
-        F.arrays_zip(F.sequence(F.lit(0), F.size("texts") - 1).alias("at"), F.col("texts").alias("text"), F.col("inside").alias("inside")),
-        lambda b: (~F.coalesce(F.array_contains("gone", b["at"]), F.lit(False))) & (b["inside"] | ~F.col("_article")))
-    text = F.when(F.size("texts") > 0, F.array_join(F.transform(keep, lambda b: b["text"]), "\n")).otherwise("")
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    constant = shared.materialize(seen.join(sizes, "host").where(F.greatest("l", "r") >= enough).select(*cell), "constant")
+    gone = slots.join(_joinable(constant), cell, "left_semi").groupBy("key").agg(F.collect_set("at").alias("gone"))
+    gone = shared.materialize(gone, "gone")
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in shared.slices(batches, "html"):
+            texts = [main_text(Page(x or ""), set(g or ())) for x, g in zip(part.column("html").to_pylist(), part.column("gone").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+    rows = _keyed(pages).join(_joinable(gone), "key", "left").select("page_id", "url", "html", "gone")
+    return shared.map_arrow(rows, step, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+
+
+def _hashed_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([_hash(x) for x in batch.column(0).to_pylist()], pa.int64()), batch.column(1)], ["host", "n_pages"])
+
+
+def main_text(page: Page, gone: set[int]) -> str:
+    """The blocks that aren't template; where the page has an explicit article, only those in it."""
+    article = any(inside for _, inside, _ in page.blocks)
+    return "\n".join(text for at, (_, inside, text) in enumerate(page.blocks) if at not in gone and (inside or not article))
