@@ -9,8 +9,10 @@ the shingles themselves: aligned stretches of at least MIN_SHINGLES whose sets o
 at least SIMILARITY.
 
 Texts with the same words are one text with many documents. Texts of a crowded signature are compared with its smallest
-text; those that turn out different from it meet again without it, round by round until none is left, so a passage
-shared by any number of texts gives as many links, not their square, and no text is left out.
+text, so a passage shared by any number of texts gives as many links, not their square. Where that finds a common
+stretch too short for a passage (a line that many texts have), the stretch is masked in both texts: masked shingles come
+after all others in the order that minima follow. Texts with masks meet again by what else they hold, and so on until
+no masks are added.
 
 Null texts count as empty; texts of fewer than 50 words have no passages. A null doc_id takes part in nothing. Of rows
 that repeat a doc_id with the same words one counts.
@@ -19,6 +21,7 @@ that repeat a doc_id with the same words one counts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .simhash import mixed, runs, shingle_hashes
+from .simhash import _UPPER, mixed, runs
 
 WIDTH = 5
 MIN_SHINGLES = 46
@@ -35,155 +38,227 @@ SIMILARITY = 0.8
 #: Pairs of hash functions.
 PAIRS = 3
 #: Up to so many texts of a signature are compared each with each.
-FEW = 8
+FEW = 16
+
+
+#: An odd factor and its inverse modulo 2^64.
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+
+
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the factor and of its inverse, modulo 2^64."""
+    out = []
+    for base in (_FACTOR, _INVERSE):
+        x = np.full(n, base, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out[0], out[1]
+
+
+def hashed_shingles(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of all texts, and how many each text has (fewer words than `width`: none).
+
+    A shingle's hash is its bytes as digits of a number modulo 2^64, mixed: the difference of two prefix sums, shifted.
+    """
+    joined = [b" ".join((t or "").encode().translate(_UPPER).split()) for t in texts]
+    raw = np.frombuffer(b" ".join([*joined, b""]), np.uint8)
+    up, down = _powers(1 << max(12, len(raw).bit_length()))
+    sums = np.r_[np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])]
+    ends = np.flatnonzero(raw == 32)  # of words; an empty text ends an empty word
+    begins = np.r_[0, ends[:-1] + 1] if len(ends) else ends
+    text_ends = np.cumsum([len(x) + 1 for x in joined]) if joined else np.empty(0, np.int64)
+    words_until = np.searchsorted(ends, text_ends - 1, side="right") if joined else text_ends
+    n_words = np.diff(np.r_[0, words_until])
+    empty = np.array([not x for x in joined], bool)
+    counts = np.where(empty, 0, np.maximum(n_words - width + 1, 0))
+    first_word = np.r_[0, words_until[:-1]] if len(words_until) else words_until
+    at = np.repeat(first_word - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    b, e = begins[at], ends[at + width - 1]
+    h = (sums[e] - sums[b]) * down[b]
+    return mixed(h + np.uint64(width), 1), counts
 
 
 def minima(h: np.ndarray, width: int) -> np.ndarray:
-    """For each window of that width the place of its smallest value (the leftmost)."""
+    """For each window of that width the place of its smallest value; the places' bits replace the values' lowest ones."""
     n = len(h)
-    m = -(-n // width) * width
-    padded = np.full(m, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = h
+    bits = np.uint64(max(20, n.bit_length()))
+    placed = (h >> bits << bits) | np.arange(n, dtype=np.uint64)
+    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
+    padded[:n] = placed
     blocks = padded.reshape(-1, width)
     left = np.minimum.accumulate(blocks, axis=1).ravel()
     right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(right[: n - width + 1], left[width - 1 : n])
-    order = np.argsort(h, kind="stable")
-    first = np.searchsorted(h[order], least)
-    out = order[first]
-    starts = np.arange(n - width + 1)
-    for k in np.flatnonzero((out < starts) | (out >= starts + width)).tolist():  # a value that the text repeats
-        out[k] = k + int(h[k : k + width].argmin())
-    return out
+    return (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def compact_windows(h: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of the Cartesian tree's nodes that are at least `width` wide, by c; equal values: the left one is above.
+def compact_windows(h: np.ndarray, width: int, counts: np.ndarray | None = None) -> np.ndarray:
+    """Rows (l, c, r) of the Cartesian trees' nodes that are at least `width` wide, by c; equal values: the left one is above.
 
-    A node is that wide if and only if it is the minimum of some window of that width, and the nodes above it are wider,
-    so the tree of these places is the top of the whole tree.
+    counts: how many of the values each text has (none: one text). A node is that wide if and only if it is the minimum of
+    some window of that width, and the nodes above it are wider, so the tree of these places is the top of the whole tree.
     """
-    if len(h) < width:
-        return []
-    wide = np.unique(minima(h, width)).tolist()
-    values = h[wide].tolist()
-    left, right = [0] * len(wide), [len(h) - 1] * len(wide)
-    stack: list[int] = []
+    counts = np.array([len(h)]) if counts is None else counts
+    text_ends = np.cumsum(counts)
+    starts = _starts(counts, width)
+    if not len(starts):
+        return np.empty((0, 3), np.int64)
+    places = minima(h, width)[starts]
+    wide = places[np.r_[True, places[1:] != places[:-1]]]
+    text = np.searchsorted(text_ends, wide, side="right")
+    bits = np.uint64(max(20, len(h).bit_length()))
+    values, of = (h[wide] >> bits).tolist(), text.tolist()
+    left, right = (text_ends - counts)[text].tolist(), (text_ends - 1)[text].tolist()
+    wide_list, stack, now = wide.tolist(), [], -1
     for k, value in enumerate(values):
+        if of[k] != now:
+            stack, now = [], of[k]
         while stack and values[stack[-1]] > value:
-            right[stack.pop()] = wide[k] - 1
-        left[k] = wide[stack[-1]] + 1 if stack else 0
+            right[stack.pop()] = wide_list[k] - 1
+        if stack:
+            left[k] = wide_list[stack[-1]] + 1
         stack.append(k)
-    return list(zip(left, wide, right, strict=True))
+    return np.stack([left, wide, right], axis=1)
+
 
+def _starts(counts: np.ndarray, width: int) -> np.ndarray:
+    """Where passages of that width can start, of all texts one after the other."""
+    n = np.maximum(counts - width + 1, 0)
+    return np.repeat(np.cumsum(counts) - counts - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
-def signatures(h: np.ndarray, width: int, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys and the first and last shingle of the passages that share them."""
-    keys, firsts, lasts = [], [], []
-    n_starts = len(h) - width + 1
-    if n_starts < 1:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+def signatures(h: np.ndarray, width: int, pairs: int, masked: np.ndarray | None = None, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the text each is of, and the first and last shingle (within the text) of the passages that share it."""
+    counts = np.array([len(h)]) if counts is None else counts
+    text_begins = np.cumsum(counts) - counts
+    out: tuple[list, list, list, list] = ([], [], [], [])
     for pair in range(pairs):
         begins, values = [], []
         for k in (2 * pair, 2 * pair + 1):
-            own = mixed(h, k + 1)
-            windows = np.array(compact_windows(own, width))
+            own = mixed(h, k + 2)
+            if masked is not None:
+                own = own >> np.uint64(1) | masked.astype(np.uint64) << np.uint64(63)
+            windows = compact_windows(own, width, counts)
             begins.append(np.maximum(windows[:, 0], windows[:, 1] - width + 1))  # the first start of a passage with this minimum
             values.append(own[windows[:, 1]])
         cuts = np.union1d(*begins)
+        if not len(cuts):
+            continue
         held = [v[np.searchsorted(b, cuts, side="right") - 1] for b, v in zip(begins, values, strict=True)]
-        keys.append(mixed(held[0] ^ mixed(held[1], 3), pair + 1))
-        firsts.append(cuts)
-        lasts.append(np.r_[cuts[1:], n_starts] + width - 2)
-    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(lasts)
+        text = np.searchsorted(text_begins + counts, cuts, side="right")
+        last_start = np.minimum(np.r_[cuts[1:] - 1, np.iinfo(np.int64).max], (text_begins + counts - width)[text])
+        for to, x in zip(out, (mixed(held[0] ^ mixed(held[1], 3), pair + 1), text, cuts - text_begins[text], last_start + width - 1 - text_begins[text]), strict=True):
+            to.append(x)
+    kinds = (np.uint64, np.int64, np.int64, np.int64)
+    return tuple(np.concatenate(x) if x else np.empty(0, k) for x, k in zip(out, kinds, strict=True))
 
 
-def _windows(docs: DataFrame, width: int, pairs: int) -> DataFrame:
-    """key, tid, span (first << 32 | last) of every text's signatures."""
+_WINDOWS = "key long, doc long, span long, tid long"
+
+
+def _step(width: int, pairs: int, masked: bool):
+    """Of every text its signatures and, with a negative span, its number of words under a key of the whole text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "text"):
-            out = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)])
-            for text in part.column("text").to_pylist():
-                h = shingle_hashes(text, WIDTH)
-                if len(h) < width:
-                    continue
-                keys, first, last = signatures(h, width, pairs)
-                out[0].append(keys.view(np.int64))
-                out[1].append(np.full(len(keys), text_id(h), np.int64))
-                out[2].append(first << 32 | last)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["key", "tid", "span"])
-
-    return shared.map_arrow(docs.select("text"), step, "key long, tid long, span long")
+            h, counts = hashed_shingles(part.column("text").to_pylist())
+            docs = part.column("doc_id").to_numpy()
+            begins = np.cumsum(counts) - counts
+            tids = np.array([text_id(h[b : b + n]) for b, n in zip(begins.tolist(), counts.tolist(), strict=True)], np.int64)
+            mask = None
+            if masked:
+                mask = np.zeros(len(h), bool)
+                for b, spans in zip(begins.tolist(), part.column("spans").to_pylist(), strict=True):
+                    for span in spans:
+                        mask[b + (span >> 32) : b + (span & 0xFFFFFFFF) + 1] = True
+            keys, text, first, last = signatures(h, width, pairs, mask, counts)
+            columns = [keys.view(np.int64), docs[text], first << 32 | last, tids[text]]
+            if not masked:
+                whole = np.flatnonzero(counts >= width)
+                for k, x in enumerate((mixed(tids[whole].view(np.uint64), 5).view(np.int64), docs[whole], -(counts[whole] + WIDTH - 1), tids[whole])):
+                    columns[k] = np.concatenate([columns[k], x])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "doc", "span", "tid"])
+
+    return step
 
 
-def text_id(h: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
+def _windows(docs: DataFrame, width: int, pairs: int) -> DataFrame:
+    """key, doc, span (first << 32 | last) and tid of every text's signatures, and the rows of whole texts."""
+    return shared.map_arrow(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text"), _step(width, pairs, False), _WINDOWS)
 
 
-def _members(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, tid, n_words of the texts that are long enough."""
+def _masked_windows(docs: DataFrame, masks: DataFrame, width: int, pairs: int) -> DataFrame:
+    """As _windows(), of the documents with masks (doc_id, spans) and without the whole texts."""
+    return shared.map_arrow(docs.select(F.col("doc_id").cast("long"), "text").join(masks, "doc_id").select("doc_id", "text", "spans"), _step(width, pairs, True), _WINDOWS)
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in shared.slices(batches, "text"):
-            hashes = [shingle_hashes(t, WIDTH) for t in part.column("text").to_pylist()]
-            keep = [k for k, h in enumerate(hashes) if len(h) >= width]
-            yield pa.RecordBatch.from_arrays([
-                part.column("doc_id").take(pa.array(keep, pa.int64())),
-                pa.array([text_id(hashes[k]) for k in keep], pa.int64()),
-                pa.array([len(hashes[k]) + WIDTH - 1 for k in keep], pa.int64()),
-            ], ["doc_id", "tid", "n_words"])
 
-    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return shared.map_arrow(rows, step, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, tid long, n_words long")
+def text_id(h: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
 
 
-_MET = "key long, a long, a_span long, b long, b_span long, crowded boolean"
+_MET = "a long, a_span long, b long, b_span long, crowded boolean"
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Pairs of different texts with a common key: all of a few, else each with the smallest (crowded)."""
-    names = [x.split()[0] for x in _MET.split(", ")]
-
-    def pairs_of(key: int, tid: np.ndarray, span: np.ndarray, lead: tuple[int, int] | None) -> pa.RecordBatch | None:
-        if lead is None and len(tid) <= FEW:
-            i, j = np.triu_indices(len(tid), 1)
-            good = tid[i] != tid[j]
-            i, j = i[good], j[good]
-            a, a_span, crowded = tid[i], span[i], False
-        else:
-            lead = lead or (int(tid[0]), int(span[0]))
-            j = np.flatnonzero(tid != lead[0])
-            a, a_span, crowded = np.full(len(j), lead[0]), np.full(len(j), lead[1]), True
-        if not len(j):
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(j), key)), pa.array(a), pa.array(a_span), pa.array(tid[j]), pa.array(span[j]), pa.array(np.full(len(j), crowded))], names)
+    """Pairs (a < b) of documents with different texts and a common key: all of a few, else each with the smallest (crowded).
+
+    Of documents with the same text the smallest stands for all: they have the same keys. The others come as pairs with
+    a negative b_span, the text's number of words.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, of = None, None
-        for key, (tid, span), partial in runs(batches, 100_000):
-            new = np.r_[True, (tid[1:] != tid[:-1]) | (span[1:] != span[:-1])]
-            tid, span = tid[new], span[new]
-            if partial and of != key:
-                lead, of = (int(tid[0]), int(span[0])), key
-            out = pairs_of(key, tid, span, lead if of == key else None)
-            if out is not None:
-                yield out
+        lead, of, first = None, None, {}
+        out: list[tuple] = []
+
+        def taken() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "a_span", "b", "b_span", "crowded"])
+
+        for key, columns, partial in runs(batches, 100_000):
+            doc, span, tid = columns
+            if len(tid) == 2 and tid[0] == tid[1] and span[0] >= 0 and not partial:
+                continue
+            if of != key:
+                lead, first = None, {}
+            rows, before = [], None
+            for d, s, t in zip(doc.tolist(), span.tolist(), tid.tolist(), strict=True):
+                if s < 0:
+                    if first.setdefault(t, d) != d:
+                        out.append((first[t], 0, d, s, False))
+                elif first.setdefault(t, d) == d and (d, s) != before:  # a text stands with its smallest document
+                    before = d, s
+                    rows.append(before)
+            of = key
+            if not rows:
+                continue
+            if len(rows) <= FEW and not partial:
+                for k, (a, a_span) in enumerate(rows):
+                    out += [(a, a_span, b, b_span, False) for b, b_span in rows[k + 1 :] if a < b]
+            else:
+                lead = lead or rows[0]
+                out += [(*lead, b, b_span, True) for b, b_span in rows if b > lead[0]]
+            if len(out) > 50_000:
+                yield taken()
+        yield taken()
 
-    return shared.map_arrow(rows.select("key", "tid", "span").repartition("key").sortWithinPartitions("key", "tid", "span"), step, _MET)
+    return shared.map_arrow(rows.select("key", "doc", "span", "tid").repartition("key").sortWithinPartitions("key", "doc", "span"), step, _MET)
 
 
 def _merged(met: DataFrame) -> DataFrame:
-    """Overlapping candidates of a pair of texts as one: a, b, a_span, b_span."""
+    """Overlapping candidates of a pair of texts as one: a, b, a_span, b_span, crowded."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: list[int] | None = None
         out: list[list[int]] = []
         for batch in batches:
-            for a, b, b_span, a_span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                row = [a, b, a_span >> 32, a_span & 0xFFFFFFFF, b_span >> 32, b_span & 0xFFFFFFFF]
+            for a, b, b_span, a_span, crowded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = [a, b, a_span >> 32, a_span & 0xFFFFFFFF, b_span >> 32, b_span & 0xFFFFFFFF, crowded]
                 if now and now[:2] == row[:2] and row[4] <= now[5] + 1 and row[2] <= now[3] + 1 and row[3] >= now[2] - 1:
-                    now[2], now[3], now[5] = min(now[2], row[2]), max(now[3], row[3]), max(now[5], row[5])
+                    now[2], now[3], now[5], now[6] = min(now[2], row[2]), max(now[3], row[3]), max(now[5], row[5]), now[6] or crowded
                 else:
                     if now:
                         out.append(now)
@@ -194,120 +269,142 @@ def _merged(met: DataFrame) -> DataFrame:
         yield batch_of(out + ([now] if now else []))
 
     def batch_of(rows: list[list[int]]) -> pa.RecordBatch:
-        x = np.array(rows, np.int64).reshape(-1, 6)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[:, 0], x[:, 1], x[:, 2] << 32 | x[:, 3], x[:, 4] << 32 | x[:, 5])], ["a", "b", "a_span", "b_span"])
+        x = np.array(rows, np.int64).reshape(-1, 7)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[:, 0], x[:, 1], x[:, 2] << 32 | x[:, 3], x[:, 4] << 32 | x[:, 5], x[:, 6] > 0)], ["a", "b", "a_span", "b_span", "crowded"])
+
+    rows = met.select("a", "b", "b_span", "a_span", "crowded").repartition("a", "b").sortWithinPartitions("a", "b", "b_span", "a_span")
+    return shared.map_arrow(rows, step, "a long, b long, a_span long, b_span long, crowded boolean")
+
+
+def matched(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each shingle of x its first place in y, and whether it has one."""
+    order = np.argsort(y, kind="stable")
+    where = order[np.minimum(np.searchsorted(y[order], x), len(y) - 1)]
+    return where, y[where] == x
+
 
-    rows = met.select("a", "b", "b_span", "a_span").repartition("a", "b").sortWithinPartitions("a", "b", "b_span", "a_span")
-    return shared.map_arrow(rows, step, "a long, b long, a_span long, b_span long")
+def common_runs(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """First and last shingle in x and in y of the runs that both have."""
+    where, common = matched(x, y)
+    step = np.r_[True, ~common[:-1] | (np.diff(where) != 1)]
+    begins = np.flatnonzero(common & step)
+    ends = np.flatnonzero(common & np.r_[~common[1:] | (np.diff(where) != 1), True])
+    return [(b, e, int(where[b]), int(where[e])) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
 
 
 def stretches(x: np.ndarray, y: np.ndarray, width: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
     """Passages of x and y that are alike: first and last shingle in x and in y, and the similarity of the two sets."""
     share = 2 * similarity / (1 + similarity)
-    order = np.argsort(y, kind="stable")
-    at = np.minimum(np.searchsorted(y[order], x), len(y) - 1)
-    where = order[at]
-    common = y[where] == x
+    where, common = matched(x, y)
     edges = np.flatnonzero(np.diff(np.r_[0, common.view(np.int8), 0]))
-    pieces: list[list[int]] = []  # first, after the last, matched
-    for b, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-        pieces.append([b, e, e - b])
+    runs_of = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+    pieces: list[list[int]] = []  # first, after the last, matched, first run
+    for k, (b, e) in enumerate(runs_of):
+        pieces.append([b, e, e - b, k])
         while len(pieces) > 1 and (pieces[-2][2] + pieces[-1][2]) >= share * (pieces[-1][1] - pieces[-2][0]):
             last = pieces.pop()
             pieces[-1][1], pieces[-1][2] = last[1], pieces[-1][2] + last[2]
-    out = []
-    for b, e, _ in pieces:
+
+    def alike(b: int, e: int) -> tuple[int, int, int, int, float] | None:
         if e - b < width:
-            continue
-        places = where[b:e][common[b:e]] - np.flatnonzero(common[b:e])
-        shift = int(np.median(places))
+            return None
+        at = b + np.flatnonzero(common[b:e])
+        shift = int(np.median(where[at] - at))
         slack = (e - b) // 4
-        low, high = max(0, b + shift - slack) - 0, min(len(y), e + shift + slack)
-        inside = where[b:e][common[b:e]]
-        inside = inside[(inside >= low) & (inside < high)]
+        inside = where[at]
+        inside = inside[(inside >= b + shift - slack) & (inside < e + shift + slack)]
         if not len(inside):
-            continue
+            return None
         y_b, y_e = int(inside.min()), int(inside.max()) + 1
         one, two = np.unique(x[b:e]), np.unique(y[y_b:y_e])
         both = len(np.intersect1d(one, two, assume_unique=True))
         found = both / (len(one) + len(two) - both)
-        if found >= similarity:
-            out.append((b, e - 1, y_b, y_e - 1, found))
+        return (b, e - 1, y_b, y_e - 1, found) if found >= similarity else None
+
+    out = []
+    for k, (b, e, _, first) in enumerate(pieces):
+        found = alike(b, e)
+        if found:
+            out.append(found)
+        elif e - b >= width:  # too many edits between its parts: each part by itself
+            last = pieces[k + 1][3] if k + 1 < len(pieces) else len(runs_of)
+            out += [x for x in (alike(*run) for run in runs_of[first:last]) if x]
     return out
 
 
-def _regions(docs: DataFrame, members: DataFrame, merged: DataFrame) -> DataFrame:
-    """tid, span, hashes: the shingles of every candidate passage, read from one document of the text."""
-    asked = merged.select(F.col("a").alias("tid"), F.col("a_span").alias("span")).union(merged.select("b", "b_span")).distinct()
-    first = members.groupBy("tid").agg(F.min("doc_id").alias("doc_id"))
-    wanted = asked.groupBy("tid").agg(F.collect_list("span").alias("spans")).join(first, "tid").select("doc_id", "tid", "spans")
+def _regions(docs: DataFrame, merged: DataFrame) -> DataFrame:
+    """doc, span, hashes: the shingles of every candidate passage."""
+    asked = merged.select(F.col("a").alias("doc_id"), F.col("a_span").alias("span")).union(merged.select("b", "b_span")).distinct()
+    wanted = asked.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "text"):
             out: tuple[list, list, list] = ([], [], [])
-            for text, tid, spans in zip(*(part.column(c).to_pylist() for c in ("text", "tid", "spans")), strict=True):
-                h = shingle_hashes(text, WIDTH)
-                if text_id(h) != tid:
-                    continue
+            hashes, counts = hashed_shingles(part.column("text").to_pylist())
+            ends = np.cumsum(counts).tolist()
+            for doc, spans, end, n in zip(part.column("doc_id").to_pylist(), part.column("spans").to_pylist(), ends, counts.tolist(), strict=True):
+                h = hashes[end - n : end]
                 for span in spans:
-                    out[0].append(tid)
-                    out[1].append(span)
-                    out[2].append(h[span >> 32 : (span & 0xFFFFFFFF) + 1].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["tid", "span", "hashes"])
+                    own = h[span >> 32 : (span & 0xFFFFFFFF) + 1]
+                    if len(own):
+                        out[0].append(doc)
+                        out[1].append(span)
+                        out[2].append(own.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["doc", "span", "hashes"])
 
-    rows = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "tid", "spans")
-    return shared.map_arrow(rows, step, "tid long, span long, hashes binary").dropDuplicates(["tid", "span"])
+    return shared.map_arrow(docs.select("doc_id", "text").join(wanted, "doc_id"), step, "doc long, span long, hashes binary")
 
 
 _FOUND = "a long, b long, a_first long, a_last long, b_first long, b_last long, similarity double"
 
 
 def _verified(merged: DataFrame, regions: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Passages of the pairs; of crowded pairs without any their common runs, without similarity."""
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _FOUND.split(", ")]
         for batch in batches:
             out = []
-            for a, b, a_span, b_span, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_span", "b_span", "x", "y")), strict=True):
-                x0, y0 = b_span >> 32, a_span >> 32
-                for b1, b2, a1, a2, s in stretches(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), width, similarity):
-                    out.append((a, b, a1 + y0, a2 + y0, b1 + x0, b2 + x0, s))
+            for a, b, a_span, b_span, crowded, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_span", "b_span", "crowded", "x", "y")), strict=True):
+                x0, y0, x, y = b_span >> 32, a_span >> 32, np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                found = stretches(x, y, width, similarity)
+                if crowded and not found:
+                    found = [(*run, None) for run in common_runs(x, y)]
+                out += [(a, b, a1 + y0, a2 + y0, b1 + x0, b2 + x0, s) for b1, b2, a1, a2, s in found]
             columns = list(zip(*out, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.float64())], names)
 
-    one = regions.select(F.col("tid").alias("b"), F.col("span").alias("b_span"), F.col("hashes").alias("x"))
-    two = regions.select(F.col("tid").alias("a"), F.col("span").alias("a_span"), F.col("hashes").alias("y"))
-    return shared.map_arrow(merged.join(one, ["b", "b_span"]).join(two, ["a", "a_span"]).select("a", "b", "a_span", "b_span", "x", "y"), step, _FOUND)
+    one = regions.select(F.col("doc").alias("b"), F.col("span").alias("b_span"), F.col("hashes").alias("x"))
+    two = regions.select(F.col("doc").alias("a"), F.col("span").alias("a_span"), F.col("hashes").alias("y"))
+    return shared.map_arrow(merged.join(one, ["b", "b_span"]).join(two, ["a", "a_span"]).select("a", "b", "a_span", "b_span", "crowded", "x", "y"), step, _FOUND)
 
 
 def repeats(docs: DataFrame, width: int = MIN_SHINGLES, similarity: float = SIMILARITY, pairs: int = PAIRS) -> DataFrame:
     """doc_id, start, end (words, end excluded), first_doc_id, first_start, similarity of each passage that an earlier
     document (by doc_id) has as well; also of whole texts with the same words."""
-    members = shared.materialize(_members(docs, width), "members")
-    rows, found, old = _windows(docs, width, pairs), None, []
+    rows, found, copies, masks, n_masks = _windows(docs, width, pairs), None, None, None, 0
     while True:
         met = shared.materialize(_met(rows), "met")
-        if not met.take(1):
-            break
-        merged = shared.materialize(_merged(met), "merged")
-        passed = shared.materialize(_verified(merged, _regions(docs, members, merged), width, similarity), "passed")
+        if copies is None:
+            copies = shared.materialize(met.where("b_span < 0").select(
+                F.col("b").alias("doc_id"), F.lit(0).cast("long").alias("start"), (-F.col("b_span")).alias("end"), F.col("a").alias("first_doc_id"), F.lit(0).cast("long").alias("first_start"), F.lit(1.0).alias("similarity")).distinct(), "copies")
+        merged = shared.materialize(_merged(met.where("b_span >= 0")), "merged")
+        shared.release(met)
+        passed = shared.materialize(_verified(merged, _regions(docs, merged), width, similarity), "passed")
         shared.release(merged)
         found = passed if found is None else found.union(passed)
-        old.append(met)
-        crowded = met.where("crowded")
-        if not crowded.take(1):
+        short = passed.where("similarity IS NULL")
+        span = lambda side: F.shiftleft(f"{side}_first", 32).bitwiseOR(F.col(f"{side}_last")).alias("span")
+        new = short.select(F.col("a").alias("doc_id"), span("a")).union(short.select("b", span("b")))
+        again = new.select("doc_id").distinct()
+        masks = shared.materialize((new if masks is None else masks.union(new)).distinct(), "masks")
+        before, n_masks = n_masks, masks.count()
+        if n_masks == before:
             break
-        # Those unlike the smallest text of their signature meet again without it.
-        failed = crowded.join(passed.select("a", "b").distinct(), ["a", "b"], "left_anti")
-        rows = failed.select("key", F.col("b").alias("tid"), F.col("b_span").alias("span"))
-    first = members.groupBy("tid").agg(F.min("doc_id").alias("first_doc_id"))
-    copies = members.join(first, "tid").where("doc_id > first_doc_id").select(
-        "doc_id", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), "first_doc_id", F.lit(0).cast("long").alias("first_start"), F.lit(1.0).alias("similarity")).distinct()
-    if found is None:
-        return copies
-    both = found.select("a", "b", "a_first", "a_last", "b_first", "b_last", "similarity").union(found.select("b", "a", "b_first", "b_last", "a_first", "a_last", "similarity"))
-    named = both.join(first.toDF("a", "a_doc"), "a").join(first.toDF("b", "b_doc"), "b").where("a_doc < b_doc")
-    spans = named.select("b", F.col("b_first").alias("start"), (F.col("b_last") + WIDTH).alias("end"), F.col("a_doc").alias("first_doc_id"), F.col("a_first").alias("first_start"), "similarity").distinct()
-    return members.select("doc_id", F.col("tid").alias("b")).distinct().join(spans, "b").drop("b").unionByName(copies)
+        rows = _masked_windows(docs, masks.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("span").alias("spans")), width, pairs)
+    spans = found.where("similarity IS NOT NULL").select(
+        F.col("b").alias("doc_id"), F.col("b_first").alias("start"), (F.col("b_last") + WIDTH).alias("end"), F.col("a").alias("first_doc_id"), F.col("a_first").alias("first_start"), "similarity").distinct()
+    return spans.unionByName(copies)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

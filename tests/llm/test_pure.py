@@ -155,7 +155,7 @@ def test_variants_meet_if_and_only_if_a_part_differs_by_one_bit_at_most():
 def test_compact_windows():
     r = np.random.default_rng(5)
     for n, width in ((1, 1), (30, 7), (200, 46), (46, 46), (10, 46)):
-        h = r.integers(0, 60, n).astype(np.uint64)
+        h = r.integers(0, 60, n).astype(np.uint64) << np.uint64(40)
         want = set()
         for c in range(n):
             lo, hi = c, c
@@ -165,18 +165,34 @@ def test_compact_windows():
                 hi += 1
             if hi - lo + 1 >= width:
                 want.add((lo, c, hi))
-        assert set(substrings.compact_windows(h, width)) == want
+        assert {tuple(x) for x in substrings.compact_windows(h, width).tolist()} == want
 
 
 def test_signatures_are_those_of_every_passage():
     h = np.random.default_rng(6).integers(0, 1 << 62, 150).astype(np.uint64)
-    keys, first, last = substrings.signatures(h, 46, 2)
+    keys, _, first, last = substrings.signatures(h, 46, 2)
     for start in range(150 - 45):
         assert sum(1 for f, e in zip(first, last, strict=True) if f <= start and start + 45 <= e) == 2
     again = substrings.signatures(h[40:100], 46, 2)[0]
     assert set(again.tolist()) <= set(keys.tolist())
 
 
+def test_shingles_of_many_texts():
+    texts = ["a b c d e f", None, "", "A  b\nC d E", "x y", "a b c d e f g", "é b c d e"]
+    h, counts = substrings.hashed_shingles(texts)
+    assert counts.tolist() == [2, 0, 0, 1, 0, 3, 1] and h[0] == h[2] == h[3] and h[1] == h[4] and len(set(h.tolist())) == 4
+    assert substrings.hashed_shingles([])[0].size == 0
+    r = np.random.default_rng(9)
+    many = [" ".join(words) for words in (r.choice(list("abcdefgh"), n) for n in r.integers(0, 90, 30))]
+    h, counts = substrings.hashed_shingles(many)
+    together = substrings.signatures(h, 20, 2, None, counts)
+    alone = []
+    for k, t in enumerate(many):
+        own, n = substrings.hashed_shingles([t])
+        alone += [(key, k, a, b) for key, _, a, b in zip(*(x.tolist() for x in substrings.signatures(own, 20, 2)), strict=True)]
+    assert sorted(zip(*(x.tolist() for x in together), strict=True)) == sorted(alone)
+
+
 def test_stretches():
     r = np.random.default_rng(7)
     x, y = r.integers(0, 1 << 62, 200).astype(np.uint64), r.integers(0, 1 << 62, 180).astype(np.uint64)
