@@ -130,7 +130,7 @@ class Automaton:
                         key = before << 20 | token
                         held = arcs.get(key)
                         if held is None:
-                            if len(arcs) > 1_000_000:
+                            if len(arcs) > 700_000:
                                 arcs.clear()
                             held = arcs[key] = self.has_arc(before, token)
                         if not held:
@@ -181,7 +181,9 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run without white space."""
         words, out = self._words, []
-        if chunk.isascii():
+        if chunk.isalpha() and _LATIN.fullmatch(chunk):
+            pieces = [chunk]
+        elif chunk.isascii():
             pieces = _ASCII_PIECES.findall(chunk)
         elif "Cn" in map(unicodedata.category, chunk):  # newer code points: their class depends on each library's Unicode version
             return np.array([t for shown, _ in self._presplit(chunk) for t in self.automaton.encode_word(shown)], dtype="<u4").tobytes()
@@ -215,6 +217,7 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
+        shared.TwoGenerations.only("bpe")
         split = [self._split(t) for t in texts]
         keys: set = set()
         for chunks in split:
@@ -240,6 +243,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+shared.OWNED["bpe"] = encoder.cache_clear
+
+
 def encoded(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids (binary, little-endian unsigned 32-bit) and decoded (binary, UTF-8) of every whole text."""
 

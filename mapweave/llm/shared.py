@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: dict[str, SparkSession] = {}
 _LOCAL: dict[str, str] = {}
+#: Per operator how to free the tools that a worker process keeps.
+OWNED: dict[str, Callable[[], None]] = {}
 #: Bytes of one Arrow batch sent to a Python worker.
 BATCH_BYTES = 16 << 20
 
@@ -93,9 +97,24 @@ def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator
 class TwoGenerations:
     """A bounded memo: when the young half is full it becomes the old one, and what is used again moves over."""
 
+    _last = ""
+
     def __init__(self, limit: int) -> None:
         self.limit, self.young, self.old = limit, {}, {}
 
+    @staticmethod
+    def only(owner: str) -> None:
+        """Free what other operators keep: a worker process serves one after the other."""
+        if TwoGenerations._last == owner:
+            return
+        TwoGenerations._last = owner
+        for name, clear in OWNED.items():
+            if name != owner:
+                clear()
+        gc.collect()
+        with contextlib.suppress(Exception):
+            ctypes.CDLL(None).malloc_trim(0)
+
     def turn(self) -> None:
         if len(self.young) >= self.limit:
             self.young, self.old = {}, self.young

@@ -27,7 +27,7 @@ from .components import Forest, components
 #: Nodes of a key that one task compares among themselves.
 CROWD = 20_000
 #: Links that a task keeps before it hands them on.
-HELD = 400_000
+HELD = 150_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame, width: int, lanes: int = 1) -> DataFrame:
     """doc_id, fp (binary) of every whole text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.TwoGenerations.only("simhash")
         for part in shared.slices(batches, "text"):
             fps = [fingerprint(shingle_hashes(t, width), lanes) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps, pa.binary())], ["doc_id", "fp"])
