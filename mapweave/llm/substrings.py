@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 PAIRS = 3
 #: Up to so many texts of a signature are compared each with each.
 FEW = 16
+#: Documents and spans (8 bytes each) up to which a table of them is sent to every executor.
+SMALL_DOCS, SMALL_SPANS = 100_000, 1_000_000
 
 
 #: An odd factor and its inverse modulo 2^64.
@@ -191,7 +193,7 @@ def _windows(docs: DataFrame, width: int, pairs: int) -> DataFrame:
 
 def _masked_windows(docs: DataFrame, masks: DataFrame, width: int, pairs: int) -> DataFrame:
     """As _windows(), of the documents with masks (doc_id, spans) and without the whole texts."""
-    return shared.map_arrow(docs.select(F.col("doc_id").cast("long"), "text").join(masks, "doc_id").select("doc_id", "text", "spans"), _step(width, pairs, True), _WINDOWS)
+    return shared.map_arrow(docs.select(F.col("doc_id").cast("long"), "text").join(_joinable(masks), "doc_id").select("doc_id", "text", "spans"), _step(width, pairs, True), _WINDOWS)
 
 
 def text_id(h: np.ndarray) -> int:
@@ -332,10 +334,18 @@ def stretches(x: np.ndarray, y: np.ndarray, width: int, similarity: float) -> li
     return out
 
 
+def _joinable(wanted: DataFrame) -> DataFrame:
+    """doc_id and spans to be joined with the texts: broadcast if counted to be small, so that the texts stay where they
+    are; a larger table is joined by a shuffle."""
+    wanted = shared.materialize(wanted, "wanted")
+    size = wanted.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
+    return F.broadcast(wanted) if size["docs"] <= SMALL_DOCS and size["spans"] <= SMALL_SPANS else wanted
+
+
 def _regions(docs: DataFrame, merged: DataFrame) -> DataFrame:
     """doc, span, hashes: the shingles of every candidate passage."""
     asked = merged.select(F.col("a").alias("doc_id"), F.col("a_span").alias("span")).union(merged.select("b", "b_span")).distinct()
-    wanted = asked.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    wanted = _joinable(asked.groupBy("doc_id").agg(F.collect_list("span").alias("spans")))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "text"):
