@@ -231,37 +231,60 @@ def classes(docs: DataFrame, width: int = 3, bits: int = 3) -> DataFrame:
     return rows.join(found, "fp").select("doc_id", "fingerprint", "component_id")
 
 
-#: For whole corpora at a similarity of 0.8 of five-word shingles: words of a fingerprint, segments, bits that may differ.
-LANES, SEGMENTS, NEAR_BITS = 5, [(64 * lane + at, 24) for lane in range(5) for at in (0, 24)], 55
-#: Nodes of a key up to which all pairs are verified by a join; with more they are compared within the key's task.
+#: For whole corpora: least Jaccard similarity of the sets of five-word shingles; minima of a band and bands. Two texts at
+#: similarity s share a band with probability 1 - (1 - s^ROWS)^BANDS: 99.8 % at 0.8.
+SIMILARITY, ROWS, BANDS = 0.8, 5, 16
+#: Nodes of a key up to which all pairs are verified at once; with more each is compared with the smallest first.
 FEW = 8
+#: Nodes of each side of a cell in which what the smallest left apart is compared.
+BLOCK = 512
+#: Candidate nodes up to which their table is broadcast, so that the texts stay where they are.
+SMALL_NODES = 200_000
 
 
-def _long_index(rows: DataFrame, segments: list[tuple[int, int]]) -> DataFrame:
-    """key, node of every segment's variants of fingerprints of several words."""
+def _odd(n: int) -> np.ndarray:
+    return mixed(np.arange(1, n + 1, dtype=np.uint64), 3) | np.uint64(1)
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, width))
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                keys = variant_keys(_words(part.column("fp")), segments)
-                node = part.column("node").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(node, keys.shape[1]))], ["key", "node"])
 
-    return shared.map_arrow(rows.select("node", "fp"), step, "key long, node long")
+def set_id(own: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
 
 
-def _words(fps: pa.Array) -> np.ndarray:
-    """(n, words) of equally long binary fingerprints, the lowest bits first."""
-    raw = b"".join(fps.to_pylist())
-    return np.frombuffer(raw, ">u8").astype(np.uint64).reshape(len(fps), -1) if len(fps) else np.empty((0, 1), np.uint64)
+def band_keys(own: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """A key for each band of minima of the set under as many multipliers; none for an empty set."""
+    if not len(own):
+        return np.empty(0, np.int64)
+    least = np.array([(own * f).min() for f in _odd(rows * bands)]).reshape(bands, rows)
+    keys = np.arange(bands, dtype=np.uint64)
+    for k in range(rows):
+        keys = mixed(keys ^ least[:, k], 4)
+    return keys.view(np.int64)
 
 
-def _sorted_out(index: DataFrame) -> DataFrame:
-    """Of keys with few nodes all pairs (a, b); of the others the rows (key, a)."""
+def _noded(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, node (id of the set of shingles) and keys of its bands, of every whole text."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.TwoGenerations.only("simhash")
+        for part in shared.slices(batches, "text"):
+            sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
+            columns = [part.column("doc_id"), pa.array([set_id(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "keys"])
+
+    rows = docs.select("doc_id", "text")
+    return shared.map_arrow(rows, step, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, keys array<long>")
+
+
+def _met_nodes(index: DataFrame, few: int) -> DataFrame:
+    """Of keys with few nodes all pairs (a, b); of the others each node with the smallest, and the rows (key, a)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[tuple[int, int]] = set()
+        of, lead = None, 0
 
         def out() -> pa.RecordBatch:
             pairs = np.array(sorted(held), np.int64).reshape(-1, 2)
@@ -269,61 +292,131 @@ def _sorted_out(index: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
 
         for key, (node,), partial in runs(batches, 1_000_000):
-            if partial or len(node) > FEW:
+            nodes = node.tolist()
+            if partial or len(nodes) > few:
+                lead = lead if of == key else nodes[0]
+                of = key
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), key, np.int64)), pa.array(node), pa.nulls(len(node), pa.int64())], ["key", "a", "b"])
-                continue
-            nodes = sorted(node.tolist())
-            held.update((x, y) for k, x in enumerate(nodes) for y in nodes[k + 1 :])
+                held.update((lead, x) for x in nodes if x != lead)
+            else:
+                held.update((x, y) for k, x in enumerate(nodes) for y in nodes[k + 1 :])
             if len(held) > HELD:
                 yield out()
         yield out()
 
-    return shared.map_arrow(index.repartition("key").sortWithinPartitions("key"), step, "key long, a long, b long")
+    return shared.map_arrow(index.repartition("key").sortWithinPartitions("key", "node"), step, "key long, a long, b long")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """node and its set (binary) of the wanted nodes (doc_id, node)."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in shared.slices(batches, "text"):
+            sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
+            good = pa.array([set_id(x) == n for x, n in zip(sets, part.column("node").to_pylist(), strict=True)], pa.bool_())  # a doc_id may repeat with other texts
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "own"]).filter(good)
+
+    small = wanted.limit(SMALL_NODES + 1).count() <= SMALL_NODES
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if small else wanted, "doc_id").select("node", "text")
+    return shared.map_arrow(rows, step, "node long, own binary").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, bits: int) -> DataFrame:
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Of two sorted sets."""
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return both / (len(x) + len(y) - both)
+
+
+def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b, their sets x, y) those at the similarity or more."""
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = _linked(_words(batch.column("x")), _words(batch.column("y")), bits)
-            yield batch.select(["a", "b"]).filter(pa.array(good))
+            good = [jaccard(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) >= similarity for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return shared.map_arrow(pairs.select("a", "b", "x", "y"), step, "a long, b long")
 
 
-def _crowds(rows: DataFrame, bits: int) -> DataFrame:
-    """Links among the nodes of each key; of more than CROWD nodes each further part meets one node of each component so far."""
+def link_cell(rest: list[tuple[int, int, np.ndarray]], others: list[tuple[int, int, np.ndarray]], similarity: float, forest: Forest) -> None:
+    """Connect what is alike of the rest with the others (node, root, set), but what is in one component already."""
+    for node, root, _ in [*rest, *others]:
+        forest.link(node, root)
+    sizes = np.array([len(x) for _, _, x in others])
+    kinds, codes = np.unique(np.concatenate([x for _, _, x in others]), return_inverse=True)
+    begins, mark = np.cumsum(sizes) - sizes, np.zeros(len(kinds), bool)
+    for node, _, own in rest:
+        mine = forest.root(node)
+        if all(forest.root(x) == mine for x, _, _ in others):
+            continue
+        at = np.minimum(np.searchsorted(kinds, own), len(kinds) - 1)
+        mark[:] = False
+        mark[at[kinds[at] == own]] = True
+        both = np.add.reduceat(mark[codes], begins, dtype=np.int64)
+        for k in np.flatnonzero(both / (len(own) + sizes - both) >= similarity).tolist():
+            forest.link(node, others[k][0])
+
+
+def _cells(rows: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Links that the stars of crowded keys (rows: key, node) left out: in each key every node outside the largest
+    component is compared with all nodes of other components, in cells of about `block` by `block` nodes."""
+    open_rows = rows.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    open_rows = shared.materialize(open_rows, "open")
+    by_root = open_rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    keys = by_root.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main")).where("kinds > 1")
+    parts = lambda n: F.ceil(F.col(n) / block).cast("int")
+    keys = keys.select("key", "main", parts("n").alias("all_parts"), F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("rest_parts"))
+    found = open_rows.join(keys, "key")
+    of = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = found.where("root <> main").select("key", of("rest_parts").alias("i"), spread("all_parts").alias("j"), F.lit(0).alias("side"), "node", "root")
+    others = found.select("key", spread("rest_parts").alias("i"), of("all_parts").alias("j"), F.lit(1).alias("side"), "node", "root")
+    cells = rest.union(others).join(sets, "node").select(F.xxhash64("key", "i", "j").alias("cell"), "side", "node", "root", "own")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = Forest()
-        of, nodes, words = None, np.empty(0, np.int64), np.empty((0, 1), np.uint64)
-        for key, (node, fp), partial in runs(batches, CROWD):
-            own = _words(pa.array(fp.tolist(), pa.binary()))
-            if partial and of == key:
-                node, own = np.concatenate([nodes, node]), np.concatenate([words, own])
-            if len(node) > 1:
-                link_run(node, own, bits, forest)
-            if partial:
-                first = np.unique([forest.root(int(x)) for x in node], return_index=True)[1]
-                of, nodes, words = key, node[first], own[first]
-            elif len(forest.up) > HELD:
-                yield forest.stars()
-                forest = Forest()
+        forest, of_cell, sides = Forest(), None, ([], [])
+
+        def compare() -> None:
+            if all(sides):
+                link_cell(*sides, similarity, forest)
+            sides[0].clear()
+            sides[1].clear()
+
+        for batch in batches:
+            for cell, side, node, root, own in zip(*(batch.column(c).to_pylist() for c in ("cell", "side", "node", "root", "own")), strict=True):
+                if cell != of_cell:
+                    compare()
+                    of_cell = cell
+                    if len(forest.up) > HELD:
+                        yield forest.stars()
+                        forest = Forest()
+                sides[side].append((node, root, np.frombuffer(own, np.uint64)))
+        compare()
         yield forest.stars()
 
-    return shared.map_arrow(rows.repartition("key").sortWithinPartitions("key"), step, "a long, b long")
+    return shared.map_arrow(cells.repartition("cell").sortWithinPartitions("cell"), step, "a long, b long")
+
 
+def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY, few: int = FEW, block: int = BLOCK) -> DataFrame:
+    """doc_id and component_id of the documents whose component has a smaller doc_id; without null doc_ids.
 
-def near_duplicates(docs: DataFrame, width: int = 5, bits: int = NEAR_BITS) -> DataFrame:
-    """doc_id and component_id of the documents whose component has a smaller doc_id; without null doc_ids."""
-    rows = fingerprints(docs.where(F.col("doc_id").isNotNull()), width, LANES)
-    rows = shared.materialize(rows.withColumn("node", F.xxhash64("fp")), "fingerprints")
-    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp")), "distinct")
-    met = shared.materialize(_sorted_out(_long_index(distinct, SEGMENTS)), "met")
-    fps = distinct.select("node", "fp")
-    pairs = met.where("key IS NULL").select("a", "b").distinct()
-    pairs = pairs.join(fps.toDF("a", "x"), "a").join(fps.toDF("b", "y"), "b")
-    crowds = met.where("key IS NOT NULL").select("key", F.col("a").alias("node")).join(fps, "node").select("key", "node", "fp")
-    roots = components(_verified(pairs, bits).union(_crowds(crowds, bits)))
+    Two documents are linked if the Jaccard similarity of their sets of shingles, counted exactly, is at least that.
+    """
+    known = docs.where(F.col("doc_id").isNotNull())
+    rows = shared.materialize(_noded(known, width), "nodes")
+    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "distinct")
+    met = shared.materialize(_met_nodes(distinct.select("node", F.explode("keys").alias("key")).select("key", "node"), few), "met")
+    pairs = shared.materialize(met.where("key IS NULL").select("a", "b").distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = shared.materialize(distinct.join(wanted, "node").select(F.col("first").alias("doc_id"), "node"), "wanted")
+    sets = shared.materialize(_sets(known, wanted, width), "sets")
+    links = shared.materialize(_alike(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b"), similarity), "alike")
+    roots = components(links)
+    crowds = met.where("key IS NOT NULL").select("key", F.col("a").alias("node"))
+    if crowds.take(1):
+        roots = components(links.union(_cells(crowds, roots, sets, similarity, block)))
     own = distinct.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = own.groupBy("root").agg(F.min("first").alias("component_id"))
     found = own.join(least, "root").select("node", "component_id")

@@ -224,3 +224,35 @@ def test_pipeline_against_brute_force(spark):
             assert i in unique
     last = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert {r["doc_id"] for r in last} <= unique and len({(r["doc_id"], r["piece"]) for r in last}) == len(last)
+
+
+def exact_components(rows, similarity=0.8):
+    """The smallest id that each document is connected with, by all pairs' exact Jaccard similarity."""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    root = {i: i for i in sets}
+    for _ in sets:
+        before = dict(root)
+        for i in sets:
+            for j in sets:
+                if root[i] != root[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+        if root == before:
+            return root
+    return root
+
+
+def copies_at(similarity, n, start, length=184):
+    """n pairs of texts with the same first shingles, so many that their Jaccard similarity is just that or a little more."""
+    common = int(np.ceil(2 * similarity * length / (1 + similarity) - 1e-9))
+    rows = []
+    for k in range(n):
+        w = words(length + 4, start + 3 * k)
+        rows += [(start + 2 * k, " ".join(w)), (start + 2 * k + 1, " ".join([*w[: common + 4], *words(length - common, start + 3 * k + 1)]))]
+    return rows
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+def test_near_duplicates_are_found_at_the_threshold(spark, similarity):
+    rows = copies_at(similarity, 100, 1000)
+    gone = {r["doc_id"] for r in simhash.near_duplicates(docs(spark, rows)).collect()}
+    assert len(gone) >= 95 and gone <= {i for i, _ in rows if i % 2}
