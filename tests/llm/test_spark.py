@@ -256,3 +256,16 @@ def test_near_duplicates_are_found_at_the_threshold(spark, similarity):
     rows = copies_at(similarity, 100, 1000)
     gone = {r["doc_id"] for r in simhash.near_duplicates(docs(spark, rows)).collect()}
     assert len(gone) >= 95 and gone <= {i for i, _ in rows if i % 2}
+
+
+def test_crowded_keys_lose_no_links(spark):
+    """Two chains whose ends aren't alike, and texts on a template: nearly every key is crowded, and divided into cells of a few nodes."""
+    line, rows = words(600, 7), []
+    for k in range(60):
+        rows.append((500 - k if k % 2 else k, " ".join(line[5 * k : 5 * k + 200])))
+    other = words(400, 8)
+    rows += [(1000 + (7 * k) % 31, " ".join(other[6 * k : 6 * k + 200])) for k in range(31)]
+    rows += [(2000 + k, " ".join([*other[:170], *words(26, 900 + k)])) for k in range(40)]
+    want = exact_components(rows)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs(spark, rows), few=2, block=3).collect()}
+    assert len(set(want.values())) > 30 and {i: got.get(i, i) for i, _ in rows} == want
