@@ -269,3 +269,11 @@ def test_crowded_keys_lose_no_links(spark):
     want = exact_components(rows)
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs(spark, rows), few=2, block=3).collect()}
     assert len(set(want.values())) > 30 and {i: got.get(i, i) for i, _ in rows} == want
+
+
+def test_texts_below_the_threshold_stay(spark):
+    rows = copies_at(0.7, 60, 5000) + copies_at(0.75, 60, 6000) + copies_at(0.78, 60, 7000)
+    template = words(160, 9)
+    rows += [(8000 + k, " ".join([*template, *words(36, 9000 + k)])) for k in range(60)]  # alike at 0.68 each
+    assert set(exact_components(rows[-60:]).values()) == {i for i, _ in rows[-60:]}
+    assert simhash.near_duplicates(docs(spark, rows)).collect() == []
