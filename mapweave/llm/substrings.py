@@ -9,10 +9,12 @@ the shingles themselves: aligned stretches of at least MIN_SHINGLES whose sets o
 at least SIMILARITY.
 
 Texts with the same words are one text with many documents. Texts of a crowded signature are compared with its smallest
-text, so a passage shared by any number of texts gives as many links, not their square. Where that finds a common
-stretch too short for a passage (a line that many texts have), the stretch is masked in both texts: masked shingles come
-after all others in the order that minima follow. Texts with masks meet again by what else they hold, and so on until
-no masks are added.
+text, so a passage shared by any number of texts gives as many links, not their square. What that text doesn't have is
+divided again, whether a passage was found or not: of each window of passage length in the others' regions the least pair
+of neighbouring shingles that the smallest text lacks is a key below that signature (under as many functions as there are
+pairs), and a window without such a pair that isn't in a passage found is a key itself. Two texts with the same passage
+have the same keys for each of its windows, so they are compared or the passage is found with an earlier text; and so on
+until no key is crowded.
 
 Null texts count as empty; texts of fewer than 50 words have no passages. A null doc_id takes part in nothing. Of rows
 that repeat a doc_id with the same words one counts.
@@ -26,7 +28,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared
@@ -160,8 +162,9 @@ def signatures(h: np.ndarray, width: int, pairs: int, masked: np.ndarray | None
 _WINDOWS = "key long, doc long, span long, tid long"
 
 
-def _step(width: int, pairs: int, masked: bool):
-    """Of every text its signatures and, with a negative span, its number of words under a key of the whole text."""
+def _windows(docs: DataFrame, width: int, pairs: int) -> DataFrame:
+    """key, doc, span (first << 32 | last) and tid of every text's signatures and, with a negative span, its number of words
+    under a key of the whole text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "text"):
@@ -169,47 +172,31 @@ def _step(width: int, pairs: int, masked: bool):
             docs = part.column("doc_id").to_numpy()
             begins = np.cumsum(counts) - counts
             tids = np.array([text_id(h[b : b + n]) for b, n in zip(begins.tolist(), counts.tolist(), strict=True)], np.int64)
-            mask = None
-            if masked:
-                mask = np.zeros(len(h), bool)
-                for b, spans in zip(begins.tolist(), part.column("spans").to_pylist(), strict=True):
-                    for span in spans:
-                        mask[b + (span >> 32) : b + (span & 0xFFFFFFFF) + 1] = True
-            keys, text, first, last = signatures(h, width, pairs, mask, counts)
+            keys, text, first, last = signatures(h, width, pairs, None, counts)
             columns = [keys.view(np.int64), docs[text], first << 32 | last, tids[text]]
-            if not masked:
-                whole = np.flatnonzero(counts >= width)
-                for k, x in enumerate((mixed(tids[whole].view(np.uint64), 5).view(np.int64), docs[whole], -(counts[whole] + WIDTH - 1), tids[whole])):
-                    columns[k] = np.concatenate([columns[k], x])
+            whole = np.flatnonzero(counts >= width)
+            for k, x in enumerate((mixed(tids[whole].view(np.uint64), 5).view(np.int64), docs[whole], -(counts[whole] + WIDTH - 1), tids[whole])):
+                columns[k] = np.concatenate([columns[k], x])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "doc", "span", "tid"])
 
-    return step
-
-
-def _windows(docs: DataFrame, width: int, pairs: int) -> DataFrame:
-    """key, doc, span (first << 32 | last) and tid of every text's signatures, and the rows of whole texts."""
-    return shared.map_arrow(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text"), _step(width, pairs, False), _WINDOWS)
-
-
-def _masked_windows(docs: DataFrame, masks: DataFrame, width: int, pairs: int) -> DataFrame:
-    """As _windows(), of the documents with masks (doc_id, spans) and without the whole texts."""
-    return shared.map_arrow(docs.select(F.col("doc_id").cast("long"), "text").join(_joinable(masks), "doc_id").select("doc_id", "text", "spans"), _step(width, pairs, True), _WINDOWS)
+    return shared.map_arrow(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text"), step, _WINDOWS)
 
 
 def text_id(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
 
 
-_MET = "a long, a_span long, b long, b_span long, crowded boolean"
+_MET = "key long, a long, a_span long, b long, b_span long"
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Pairs (a < b) of documents with different texts and a common key: all of a few, else each with the smallest (crowded).
+    """Pairs (a < b) of documents with different texts and a common key: all of a few, else each with the smallest, with
+    the key (there also other rows of the smallest itself).
 
     Of documents with the same text the smallest stands for all: they have the same keys. The others come as pairs with
     a negative b_span, the text's number of words.
     """
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+    kinds = [pa.int64()] * 5
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, of, first = None, None, {}
@@ -218,7 +205,7 @@ def _met(rows: DataFrame) -> DataFrame:
         def taken() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) or [()] * 5
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "a_span", "b", "b_span", "crowded"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "a", "a_span", "b", "b_span"])
 
         for key, columns, partial in runs(batches, 100_000):
             doc, span, tid = columns
@@ -230,7 +217,7 @@ def _met(rows: DataFrame) -> DataFrame:
             for d, s, t in zip(doc.tolist(), span.tolist(), tid.tolist(), strict=True):
                 if s < 0:
                     if first.setdefault(t, d) != d:
-                        out.append((first[t], 0, d, s, False))
+                        out.append((None, first[t], 0, d, s))
                 elif first.setdefault(t, d) == d and (d, s) != before:  # a text stands with its smallest document
                     before = d, s
                     rows.append(before)
@@ -239,10 +226,10 @@ def _met(rows: DataFrame) -> DataFrame:
                 continue
             if len(rows) <= FEW and not partial:
                 for k, (a, a_span) in enumerate(rows):
-                    out += [(a, a_span, b, b_span, False) for b, b_span in rows[k + 1 :] if a < b]
+                    out += [(None, a, a_span, b, b_span) for b, b_span in rows[k + 1 :] if a < b]
             else:
                 lead = lead or rows[0]
-                out += [(*lead, b, b_span, True) for b, b_span in rows if b > lead[0]]
+                out += [(key, *lead, *row) for row in rows if row != lead]
             if len(out) > 50_000:
                 yield taken()
         yield taken()
@@ -251,16 +238,16 @@ def _met(rows: DataFrame) -> DataFrame:
 
 
 def _merged(met: DataFrame) -> DataFrame:
-    """Overlapping candidates of a pair of texts as one: a, b, a_span, b_span, crowded."""
+    """Overlapping candidates of a pair of texts as one: a, b, a_span, b_span."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: list[int] | None = None
         out: list[list[int]] = []
         for batch in batches:
-            for a, b, b_span, a_span, crowded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                row = [a, b, a_span >> 32, a_span & 0xFFFFFFFF, b_span >> 32, b_span & 0xFFFFFFFF, crowded]
+            for a, b, b_span, a_span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = [a, b, a_span >> 32, a_span & 0xFFFFFFFF, b_span >> 32, b_span & 0xFFFFFFFF]
                 if now and now[:2] == row[:2] and row[4] <= now[5] + 1 and row[2] <= now[3] + 1 and row[3] >= now[2] - 1:
-                    now[2], now[3], now[5], now[6] = min(now[2], row[2]), max(now[3], row[3]), max(now[5], row[5]), now[6] or crowded
+                    now[2], now[3], now[5] = min(now[2], row[2]), max(now[3], row[3]), max(now[5], row[5])
                 else:
                     if now:
                         out.append(now)
@@ -271,11 +258,11 @@ def _merged(met: DataFrame) -> DataFrame:
         yield batch_of(out + ([now] if now else []))
 
     def batch_of(rows: list[list[int]]) -> pa.RecordBatch:
-        x = np.array(rows, np.int64).reshape(-1, 7)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[:, 0], x[:, 1], x[:, 2] << 32 | x[:, 3], x[:, 4] << 32 | x[:, 5], x[:, 6] > 0)], ["a", "b", "a_span", "b_span", "crowded"])
+        x = np.array(rows, np.int64).reshape(-1, 6)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[:, 0], x[:, 1], x[:, 2] << 32 | x[:, 3], x[:, 4] << 32 | x[:, 5])], ["a", "b", "a_span", "b_span"])
 
-    rows = met.select("a", "b", "b_span", "a_span", "crowded").repartition("a", "b").sortWithinPartitions("a", "b", "b_span", "a_span")
-    return shared.map_arrow(rows, step, "a long, b long, a_span long, b_span long, crowded boolean")
+    rows = met.select("a", "b", "b_span", "a_span").repartition("a", "b").sortWithinPartitions("a", "b", "b_span", "a_span")
+    return shared.map_arrow(rows, step, "a long, b long, a_span long, b_span long")
 
 
 def matched(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,13 +272,27 @@ def matched(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return where, y[where] == x
 
 
-def common_runs(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """First and last shingle in x and in y of the runs that both have."""
-    where, common = matched(x, y)
-    step = np.r_[True, ~common[:-1] | (np.diff(where) != 1)]
-    begins = np.flatnonzero(common & step)
-    ends = np.flatnonzero(common & np.r_[~common[1:] | (np.diff(where) != 1), True])
-    return [(b, e, int(where[b]), int(where[e])) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
+def divided(key: int, x: np.ndarray, y: np.ndarray, found: list[tuple], width: int, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys below `key`, and the first and last shingle of x under each, of what x has beside y: see the module's docstring."""
+    two_x, two_y = (mixed(z[:-1] ^ mixed(z[1:], 6), 7) for z in (x, y))
+    present = np.isin(two_x, two_y)
+    keys, firsts, lasts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    starts = np.arange(len(x) - width + 1)
+    below = np.uint64(key & 0xFFFFFFFFFFFFFFFF)
+    for k in range(pairs):
+        order = np.where(present, np.iinfo(np.uint64).max, mixed(two_x, 8 + k))
+        least = np.lib.stride_tricks.sliding_window_view(order, width - 1).argmin(axis=1) + starts
+        at = np.unique(least[~present[least]])
+        keys.append(mixed(two_x[at] ^ mixed(np.array([below]), 20 + k), 40))
+        firsts.append(np.maximum(at + 2 - width, 0))
+        lasts.append(np.minimum(at + width - 1, len(x) - 1))
+    had = np.r_[0, np.cumsum(present)]
+    whole = starts[had[starts + width - 1] - had[starts] == width - 1]
+    whole = [w for w in whole.tolist() if not any(b <= w and w + width - 1 <= e for b, e, *_ in found)]
+    keys.append(mixed(np.array([xxhash.xxh3_64_intdigest(x[w : w + width].tobytes()) for w in whole], np.uint64) ^ below, 41))
+    firsts.append(np.array(whole, np.int64))
+    lasts.append(np.array(whole, np.int64) + width - 1)
+    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(lasts)
 
 
 def stretches(x: np.ndarray, y: np.ndarray, width: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
@@ -365,54 +366,62 @@ def _regions(docs: DataFrame, merged: DataFrame) -> DataFrame:
     return shared.map_arrow(docs.select("doc_id", "text").join(wanted, "doc_id"), step, "doc long, span long, hashes binary")
 
 
-_FOUND = "a long, b long, a_first long, a_last long, b_first long, b_last long, similarity double"
+_FOUND = "a long, b long, a_first long, a_last long, b_first long, b_last long, similarity double, key long, span long"
 
 
-def _verified(merged: DataFrame, regions: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Passages of the pairs; of crowded pairs without any their common runs, without similarity."""
+def _verified(candidates: DataFrame, regions: DataFrame, width: int, similarity: float, pairs: int) -> DataFrame:
+    """Passages of the candidates (key, a, a_span, b, b_span) without a key; of those with a key the keys below it (key, b, span)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _FOUND.split(", ")]
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * 9
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if k == 6 else pa.int64()) for k, c in enumerate(columns)], names)
+
         for batch in batches:
-            out = []
-            for a, b, a_span, b_span, crowded, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_span", "b_span", "crowded", "x", "y")), strict=True):
+            out: list[tuple] = []
+            for key, a, b, a_span, b_span, x, y in zip(*(batch.column(c).to_pylist() for c in ("key", "a", "b", "a_span", "b_span", "x", "y")), strict=True):
                 x0, y0, x, y = b_span >> 32, a_span >> 32, np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 found = stretches(x, y, width, similarity)
-                if crowded and not found:
-                    found = [(*run, None) for run in common_runs(x, y)]
-                out += [(a, b, a1 + y0, a2 + y0, b1 + x0, b2 + x0, s) for b1, b2, a1, a2, s in found]
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.float64())], names)
+                if key is None:
+                    out += [(a, b, a1 + y0, a2 + y0, b1 + x0, b2 + x0, s, None, None) for b1, b2, a1, a2, s in found]
+                if key is not None:
+                    keys, first, last = divided(key, x, y, found, width, pairs)
+                    spans = first + x0 << 32 | last + x0
+                    out += [(None, b, None, None, None, None, None, k, span) for k, span in zip(keys.view(np.int64).tolist(), spans.tolist(), strict=True)]
+                if len(out) > 50_000:
+                    yield batch_of(out)
+                    out = []
+            yield batch_of(out)
 
     one = regions.select(F.col("doc").alias("b"), F.col("span").alias("b_span"), F.col("hashes").alias("x"))
     two = regions.select(F.col("doc").alias("a"), F.col("span").alias("a_span"), F.col("hashes").alias("y"))
-    return shared.map_arrow(merged.join(one, ["b", "b_span"]).join(two, ["a", "a_span"]).select("a", "b", "a_span", "b_span", "crowded", "x", "y"), step, _FOUND)
+    return shared.map_arrow(candidates.join(one, ["b", "b_span"]).join(two, ["a", "a_span"]).select("key", "a", "b", "a_span", "b_span", "x", "y"), step, _FOUND)
 
 
 def repeats(docs: DataFrame, width: int = MIN_SHINGLES, similarity: float = SIMILARITY, pairs: int = PAIRS) -> DataFrame:
     """doc_id, start, end (words, end excluded), first_doc_id, first_start, similarity of each passage that an earlier
     document (by doc_id) has as well; also of whole texts with the same words."""
-    rows, found, copies, masks, n_masks = _windows(docs, width, pairs), None, None, None, 0
+    rows, found, copies, passed = _windows(docs, width, pairs), None, None, None
     while True:
         met = shared.materialize(_met(rows), "met")
         if copies is None:
             copies = shared.materialize(met.where("b_span < 0").select(
                 F.col("b").alias("doc_id"), F.lit(0).cast("long").alias("start"), (-F.col("b_span")).alias("end"), F.col("a").alias("first_doc_id"), F.lit(0).cast("long").alias("first_start"), F.lit(1.0).alias("similarity")).distinct(), "copies")
-        merged = shared.materialize(_merged(met.where("b_span >= 0")), "merged")
+        all_pairs = _merged(met.where("b_span >= 0 AND a < b")).select(F.lit(None).cast("long").alias("key"), "a", "b", "a_span", "b_span")
+        candidates = shared.materialize(all_pairs.union(met.where("key IS NOT NULL").select("key", "a", "b", "a_span", "b_span")), "candidates")
         shared.release(met)
-        passed = shared.materialize(_verified(merged, _regions(docs, merged), width, similarity), "passed")
-        shared.release(merged)
+        passed = shared.materialize(_verified(candidates, _regions(docs, candidates), width, similarity, pairs), "passed")
+        shared.release(candidates)
         found = passed if found is None else found.union(passed)
-        short = passed.where("similarity IS NULL")
-        span = lambda side: F.shiftleft(f"{side}_first", 32).bitwiseOR(F.col(f"{side}_last")).alias("span")
-        new = short.select(F.col("a").alias("doc_id"), span("a")).union(short.select("b", span("b")))
-        again = new.select("doc_id").distinct()
-        masks = shared.materialize((new if masks is None else masks.union(new)).distinct(), "masks")
-        before, n_masks = n_masks, masks.count()
-        if n_masks == before:
+        below = passed.where("key IS NOT NULL")
+        if not below.take(1):
             break
-        rows = _masked_windows(docs, masks.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("span").alias("spans")), width, pairs)
-    spans = found.where("similarity IS NOT NULL").select(
+        rows = below.select("key", F.col("b").alias("doc"), "span", F.col("b").alias("tid")).distinct()
+    before = Window.partitionBy("a", "b").orderBy("b_first", F.desc("b_last"), F.desc("similarity"), "a_first", "a_last").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.where("similarity IS NOT NULL").drop("key", "span").distinct().withColumn("until", F.max("b_last").over(before))
+    spans = found.where("until IS NULL OR b_last > until").select(  # a part of a passage with the same text says nothing more
         F.col("b").alias("doc_id"), F.col("b_first").alias("start"), (F.col("b_last") + WIDTH).alias("end"), F.col("a").alias("first_doc_id"), F.col("a_first").alias("first_start"), "similarity").distinct()
     return spans.unionByName(copies)
 

@@ -277,3 +277,27 @@ def test_texts_below_the_threshold_stay(spark):
     rows += [(8000 + k, " ".join([*template, *words(36, 9000 + k)])) for k in range(60)]  # alike at 0.68 each
     assert set(exact_components(rows[-60:]).values()) == {i for i, _ in rows[-60:]}
     assert simhash.near_duplicates(docs(spark, rows)).collect() == []
+
+
+def test_crowded_passages_lose_none(spark):
+    """Each 50 words that an earlier text has are in a passage found, whatever else the texts of their keys have."""
+    rows, line, behind = [], words(45, 20), words(40, 22)
+    for case in range(8):  # the first has the line and what follows, the second and third five words before it as well
+        ahead, x, at = words(5, 30 + case), words(10, 40 + case), 1000 * case
+        a = words(45, 50 + case)
+        rows += [(at, [*words(20, at), *a, *x]), (at + 1, [*words(20, at + 1), *ahead, *a, *x]), (at + 2, [*words(20, at + 2), *ahead, *a, *words(20, at + 3)])]
+        rows += [(at + 10 + k, [*words(20, at + 10 + k), *a, *words(20, at + 50 + k)]) for k in range(20)]
+    for k in range(25):  # two lines, and where they meet, each in many texts
+        rows += [(20000 + k, [*words(30, 20000 + k), *line, *words(30, 20100 + k)]), (21000 + k, [*words(30, 21000 + k), *behind, *words(30, 21100 + k)])]
+        rows.append((22000 + k, [*words(30, 22000 + k), *line[-22:], *behind[:22], *words(30, 22100 + k)]))
+    rows += [(30000, [*words(30, 30000), *line, *behind, *words(30, 30001)]), (30001, [*words(30, 30002), *line, *behind, *words(30, 30003)])]
+    got = substrings.repeats(docs(spark, [(i, " ".join(w)) for i, w in rows])).collect()
+    of = {}
+    for r in got:
+        of.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    seen, missed = set(), set()
+    for i, w in sorted(rows):
+        own = [tuple(w[k : k + 50]) for k in range(len(w) - 49)]
+        missed |= {i for k, x in enumerate(own) if x in seen and not of.get(i, set()) >= set(range(k, k + 50))}
+        seen |= set(own)
+    assert not missed
