@@ -4,9 +4,9 @@ Each page is parsed into a DOM tree whose repeated siblings are folded. The comm
 wrapper; the trees of the host's other pages are aligned with it by simple tree matching (the largest mapping that
 keeps order and ancestry), which gives each text block a slot of the wrapper. A slot whose text is constant over the
 host's pages is template and goes; a slot that varies is content, unless it lies in an element made for something else
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments). A text counts as constant if it stands
-between different neighbours on most of the host's different pages, so that copies of one article don't make it a
-template; within an explicit article the bar is higher.
+(menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments). A text counts as constant if most of the
+host's different pages have it; pages with the same blocks count once, so that copies of one article don't make it a
+template. Within an explicit article the bar is higher.
 
 Hosts are never gathered: wrappers and constant texts come from aggregates by (host, tree) and (host, slot, text).
 Null or empty html gives an empty text; a url without a host counts as a host of its own kind; rows that repeat give
@@ -269,22 +269,22 @@ def _parsed(pages: DataFrame) -> DataFrame:
 
 
 def _slots(rows: DataFrame) -> DataFrame:
-    """key, at, host, inside, text (hash of slot and text), left and right (hashes of the neighbours) of every block."""
+    """key, at, host, page, inside, text (hash of slot and text) of every block."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                to, hashes = aligned(r["skeleton"], r["wrapper"]), r["hashes"]
+                to = aligned(r["skeleton"], r["wrapper"])
                 host = _hash(r["host"])
-                for at, (node, inside, h) in enumerate(zip(r["nodes"], r["inside"], hashes, strict=True)):
+                for at, (node, inside, h) in enumerate(zip(r["nodes"], r["inside"], r["hashes"], strict=True)):
                     slot = to[node] if node >= 0 else -1
-                    out.append((r["key"], at, host, inside, _hash(f"{slot} {h}"), hashes[at - 1] if at else 0, hashes[at + 1] if at + 1 < len(hashes) else 0))
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "at", "host", "inside", "text", "left", "right"])
+                    out.append((r["key"], at, host, r["page"], inside, _hash(f"{slot} {h}")))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "at", "host", "page", "inside", "text"])
 
-    return shared.map_arrow(rows, step, "key long, at int, host long, inside boolean, text long, left long, right long")
+    return shared.map_arrow(rows, step, "key long, at int, host long, page long, inside boolean, text long")
 
 
 def _joinable(rows: DataFrame) -> DataFrame:
@@ -292,24 +292,25 @@ def _joinable(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else rows
 
 
-def extracted(pages: DataFrame, share: float = 0.6, least: int = 5, share_inside: float = 0.9, least_inside: int = 10) -> DataFrame:
+def extracted(pages: DataFrame, share: float = 0.6, least: int = 3, share_inside: float = 0.9, least_inside: int = 3) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    share and least: of the host's different pages, and so many, must have a text between different neighbours for it
-    to be template; *_inside: within an explicit article.
+    share and least: of the host's different pages, and so many, must have a text for it to be template; *_inside:
+    within an explicit article.
     """
     parsed = shared.materialize(_parsed(pages), "pages")
     trees = parsed.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
     wrappers = trees.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"))
-    slots = shared.materialize(_slots(parsed.where(F.size("nodes") > 0).join(wrappers, "host")), "slots")
-    sizes = parsed.select("host", F.xxhash64("hashes").alias("page")).groupBy("host").agg(F.approx_count_distinct("page", 0.02).alias("n_pages"))
+    paged = parsed.withColumn("page", F.xxhash64("hashes"))
+    slots = shared.materialize(_slots(paged.where(F.size("nodes") > 0).join(wrappers, "host")), "slots")
+    sizes = paged.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     sizes = shared.map_arrow(sizes, _hashed_host, "host long, n_pages long")
     cell = ["host", "text", "inside"]
-    often = slots.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.min("left").alias("l0"), F.max("left").alias("l1"), F.min("right").alias("r0"), F.max("right").alias("r1"))
-    often = shared.materialize(often.where(F.col("n") >= least).where("l0 <> l1 OR r0 <> r1").select(*cell), "often")
-    seen = slots.join(_joinable(often), cell).groupBy(*cell).agg(F.approx_count_distinct("left", 0.02).alias("l"), F.approx_count_distinct("right", 0.02).alias("r"))
-    enough = F.greatest(F.when(F.col("inside"), share_inside).otherwise(share) * F.col("n_pages"), F.when(F.col("inside"), least_inside).otherwise(least))
-    constant = shared.materialize(seen.join(sizes, "host").where(F.greatest("l", "r") >= enough).select(*cell), "constant")
+    fewest = F.when(F.col("inside"), least_inside).otherwise(least)
+    often = shared.materialize(slots.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= fewest).select(*cell), "often")
+    seen = slots.select(*cell, "page").join(_joinable(often), cell).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("on_pages"))
+    enough = F.greatest(F.when(F.col("inside"), share_inside).otherwise(share) * F.col("n_pages"), fewest)
+    constant = shared.materialize(seen.join(sizes, "host").where(F.col("on_pages") >= enough).select(*cell), "constant")
     gone = slots.join(_joinable(constant), cell, "left_semi").groupBy("key").agg(F.collect_set("at").alias("gone"))
     gone = shared.materialize(gone, "gone")
 

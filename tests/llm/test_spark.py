@@ -301,3 +301,11 @@ def test_crowded_passages_lose_none(spark):
         missed |= {i for k, x in enumerate(own) if x in seen and not of.get(i, set()) >= set(range(k, k + 50))}
         seen |= set(own)
     assert not missed
+
+
+def test_html_adjacent_template_blocks_go(spark):
+    page = lambda k, host, body: (k, f"http://{host}/{k}", f"<div>Shop now</div><div>Free shipping</div><div>News</div><div><p>{body}</p></div><div>Imprint</div><div>Terms</div><div>Jobs</div>")
+    rows = [page(k, "many", f"body {k}") for k in range(12)] + [page(100 + k, "few", f"body {k}") for k in range(3)] + [page(200 + k, "copies", "same in copies") for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"body {k}" for k in range(12)) and all(got[100 + k] == f"body {k}" for k in range(3))
+    assert "same in copies" in got[200]
