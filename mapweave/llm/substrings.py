@@ -61,6 +61,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+shared.OWNED["substrings"] = _powers.cache_clear
+
+
 def hashed_shingles(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of all texts, and how many each text has (fewer words than `width`: none).
 
@@ -167,6 +170,7 @@ def _windows(docs: DataFrame, width: int, pairs: int) -> DataFrame:
     under a key of the whole text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.TwoGenerations.only("substrings")
         for part in shared.slices(batches, "text"):
             h, counts = hashed_shingles(part.column("text").to_pylist())
             docs = part.column("doc_id").to_numpy()
@@ -272,26 +276,29 @@ def matched(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return where, y[where] == x
 
 
-def divided(key: int, x: np.ndarray, y: np.ndarray, found: list[tuple], width: int, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def divided(key: int, x: np.ndarray, y: np.ndarray, width: int, similarity: float, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys below `key`, and the first and last shingle of x under each, of what x has beside y: see the module's docstring."""
     two_x, two_y = (mixed(z[:-1] ^ mixed(z[1:], 6), 7) for z in (x, y))
-    present = np.isin(two_x, two_y)
+    two_y.sort()
+    present = two_y[np.minimum(np.searchsorted(two_y, two_x), len(two_y) - 1)] == two_x
     keys, firsts, lasts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    starts = np.arange(len(x) - width + 1)
-    below = np.uint64(key & 0xFFFFFFFFFFFFFFFF)
-    for k in range(pairs):
-        order = np.where(present, np.iinfo(np.uint64).max, mixed(two_x, 8 + k))
-        least = np.lib.stride_tricks.sliding_window_view(order, width - 1).argmin(axis=1) + starts
-        at = np.unique(least[~present[least]])
-        keys.append(mixed(two_x[at] ^ mixed(np.array([below]), 20 + k), 40))
+    below = np.array([key & 0xFFFFFFFFFFFFFFFF], np.uint64)
+    for k in range(0 if present.all() else pairs):
+        least = minima(np.where(present, np.iinfo(np.uint64).max, mixed(two_x, 8 + k)), width - 1)
+        least = least[np.r_[True, least[1:] != least[:-1]]]
+        at = least[~present[least]]
+        keys.append(mixed(two_x[at] ^ mixed(below, 20 + k), 40))
         firsts.append(np.maximum(at + 2 - width, 0))
         lasts.append(np.minimum(at + width - 1, len(x) - 1))
     had = np.r_[0, np.cumsum(present)]
-    whole = starts[had[starts + width - 1] - had[starts] == width - 1]
-    whole = [w for w in whole.tolist() if not any(b <= w and w + width - 1 <= e for b, e, *_ in found)]
-    keys.append(mixed(np.array([xxhash.xxh3_64_intdigest(x[w : w + width].tobytes()) for w in whole], np.uint64) ^ below, 41))
-    firsts.append(np.array(whole, np.int64))
-    lasts.append(np.array(whole, np.int64) + width - 1)
+    whole = had[width - 1 :] - had[: 1 - width] == width - 1
+    if whole.any():
+        for b, e, *_ in stretches(x, y, width, similarity):
+            whole[b : e - width + 2] = False
+        at = np.flatnonzero(whole)
+        keys.append(mixed(np.array([xxhash.xxh3_64_intdigest(x[w : w + width].tobytes()) for w in at.tolist()], np.uint64) ^ below, 41))
+        firsts.append(at)
+        lasts.append(at + width - 1)
     return np.concatenate(keys), np.concatenate(firsts), np.concatenate(lasts)
 
 
@@ -349,6 +356,7 @@ def _regions(docs: DataFrame, merged: DataFrame) -> DataFrame:
     wanted = _joinable(asked.groupBy("doc_id").agg(F.collect_list("span").alias("spans")))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.TwoGenerations.only("substrings")
         for part in shared.slices(batches, "text"):
             out: tuple[list, list, list] = ([], [], [])
             hashes, counts = hashed_shingles(part.column("text").to_pylist())
@@ -383,11 +391,10 @@ def _verified(candidates: DataFrame, regions: DataFrame, width: int, similarity:
             out: list[tuple] = []
             for key, a, b, a_span, b_span, x, y in zip(*(batch.column(c).to_pylist() for c in ("key", "a", "b", "a_span", "b_span", "x", "y")), strict=True):
                 x0, y0, x, y = b_span >> 32, a_span >> 32, np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                found = stretches(x, y, width, similarity)
                 if key is None:
-                    out += [(a, b, a1 + y0, a2 + y0, b1 + x0, b2 + x0, s, None, None) for b1, b2, a1, a2, s in found]
-                if key is not None:
-                    keys, first, last = divided(key, x, y, found, width, pairs)
+                    out += [(a, b, a1 + y0, a2 + y0, b1 + x0, b2 + x0, s, None, None) for b1, b2, a1, a2, s in stretches(x, y, width, similarity)]
+                else:
+                    keys, first, last = divided(key, x, y, width, similarity, pairs)
                     spans = first + x0 << 32 | last + x0
                     out += [(None, b, None, None, None, None, None, k, span) for k, span in zip(keys.view(np.int64).tolist(), spans.tolist(), strict=True)]
                 if len(out) > 50_000:
