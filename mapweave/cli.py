@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from mapweave import schemas
 from mapweave.functions import text as T
 from mapweave.operators import adjudicate, candidates, embed, evaluate, graph, quality
+from mapweave.operators.upsert import unique, upserted
 from mapweave.schemas import Settings
-from mapweave.sources import documents, judgments, mapping, nodes, reports
+from mapweave.sources import documents, endpoints, judgments, mapping, nodes, reports
 
 
 def env(*names: str, default: str | None = None) -> str | None:
@@ -32,14 +33,15 @@ def plugged(spec: str) -> Callable:
     return getattr(importlib.import_module(module), name)()
 
 
-def read_nodes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Node files (.json) and node tables, together."""
-    files = [p for p in paths if p.endswith(".json")]
-    parts = ([nodes.read_json(spark, files)] if files else []) + [spark.read.parquet(p) for p in paths if p not in files]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+def read_nodes(spark: SparkSession, paths: list[str], suffix: str = "", once: bool = False) -> DataFrame:
+    """Node files (.json) and node tables, together. suffix: their variants; once: of an id the last of all paths."""
+    out = None
+    for k, path in enumerate(nodes.variant(p, suffix) if suffix else p for p in paths):
+        is_json = path.endswith(".json")
+        part = nodes.read_json(spark, path, sequenced=True) if is_json else spark.read.parquet(path).withColumn("seq", F.struct(F.lit("").alias("file"), F.lit(0).alias("pos")))
+        part = part.withColumn("seq", F.struct(F.lit(k).alias("path"), "seq"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return unique(out) if once else out.drop("seq")
 
 
 def shown(rows: DataFrame, n: int, title: str) -> int:
@@ -83,11 +85,16 @@ def cmd_embed(spark, a) -> int:
     print(f"{rows.count()} targets, {embed.skipped(table, Settings()).count()} without intent, {n} to do in {-(-n // a.batch)} requests")
     if a.dry_run:
         return 0
-    embedder = plugged(a.embedder)
+    embedder = endpoints.embedder(a.url, a.model) if a.url else plugged(a.embedder)
     if getattr(embedder, "healthy", lambda: True)() is False:
         return 2
-    if n:
-        embed.embedded(todo, embedder, a.model, a.batch).write.mode("append" if exists and not a.force else "overwrite").parquet(a.cache)
+    if a.force and exists:
+        cache.sparkSession.createDataFrame([], "key string, model string, vector array<double>").write.mode("overwrite").parquet(a.cache)
+    done = 0
+    while done < n or not exists:  # each part is in the cache before the next is asked for, so a failed run goes on from there
+        part = embed.to_do(rows, spark.read.parquet(a.cache) if exists else cache).orderBy("key").limit(a.batch * a.batches_a_write)
+        embed.embedded(part, embedder, a.model, a.batch).write.mode("append").parquet(a.cache)
+        done, exists = done + a.batch * a.batches_a_write, True
     nodes.store(embed.attached(table, rows, spark.read.parquet(a.cache), a.model), a.out)
     return 0
 
@@ -106,20 +113,25 @@ def cmd_candidates(spark, a) -> int:
 
 def cmd_prep(spark, a) -> int:
     pairs = candidates.selected(spark.read.parquet(a.input), a.frameworks, a.pair_class, a.ref_prefix)
-    judgments.write_batches(candidates.batched(candidates.grounded(pairs, read_nodes(spark, a.nodes)), a.batch, a.prefix), a.dir)
+    judgments.write_batches(candidates.batched(candidates.grounded(pairs, read_nodes(spark, a.nodes, once=True)), a.batch, a.prefix), a.dir)
     return 0
 
 
 def cmd_adjudicate(spark, a) -> int:
-    batches = spark.read.json(a.batches)
+    batches = judgments.read_batches(spark, a.batches)
     with open(a.rubric, encoding="utf-8") as file:
         prompted = adjudicate.prompts(batches, file.read())
     if a.dry_run:
         shown(prompted.select("batch", "n_pairs"), 30, "batch")
         return 0
-    judged = adjudicate.validated(adjudicate.parsed(adjudicate.replies(prompted, plugged(a.judge))))
-    judged.write.mode("overwrite").partitionBy("batch").parquet(a.out)
+    judge = endpoints.chat(a.provider, a.model) if a.provider else plugged(a.judge)
+    if os.path.isdir(a.out) and not a.force:  # batches that have an output stay as they are
+        prompted = adjudicate.missing_batches(prompted, spark.read.parquet(a.out)).join(prompted, "batch")
+    judged = adjudicate.validated(adjudicate.parsed(adjudicate.replies(prompted, judge, failures=True)))
+    judgments.write_outputs(judged, a.out)
     judged = spark.read.parquet(a.out)
+    if shown(adjudicate.missing_batches(batches, judged.where("problem IS NULL OR problem NOT LIKE 'no reply%'")), 20, "missing batch"):
+        return 1
     shown(adjudicate.accounting(batches, judged).where("n_pairs <> n_judged"), 30, "batch")
     return int(bool(shown(judged.where("problem IS NOT NULL").select("batch", "line_no", "problem"), 10, "rejected")))
 
@@ -143,25 +155,23 @@ def cmd_shard(spark, a) -> int:
 
 
 def cmd_edges(spark, a) -> int:
-    rows = judgments.read_json(spark, a.judgments)
-    table = read_nodes(spark, a.nodes)
+    rows = judgments.sequenced(judgments.read_json(spark, a.judgments))
+    table = read_nodes(spark, a.nodes, once=True)
     pairs = spark.read.parquet(a.candidates) if a.candidates and os.path.isdir(a.candidates) else None
     reports.write_edges(graph.edges(rows, table, pairs, a.method, a.adjudicator), a.out)
     return int(bool(shown(graph.edge_problems(rows, table), 30, "problem")))
 
 
 def cmd_load(spark, a) -> int:
-    table, edge_rows = read_nodes(spark, a.nodes), reports.read_edges(spark, a.edges)
+    table, edge_rows = read_nodes(spark, a.nodes, once=True), reports.read_edges(spark, a.edges)
     if a.dry_run:
         shown(adjudicate.by_relation(edge_rows), 10, "relation")
         return 0
-    parts = {"nodes": graph.graph_nodes(table, with_embeddings=a.with_embeddings), "contains": graph.contains(table), "relations": graph.relations(edge_rows)}
+    parts = {"nodes": graph.graph_nodes(table, with_embeddings=a.with_embeddings), "contains": graph.contains(table), "relations": graph.relations(edge_rows, table)}
     keys = {"nodes": ["id"], "contains": ["src", "dst", "type"], "relations": ["src", "type", "dst"]}
     for name, rows in parts.items():
         old = f"{a.graph}/{name}"
         if not a.wipe and os.path.isdir(old):
-            from mapweave.operators.upsert import upserted
-
             rows = upserted(spark.read.parquet(old), rows, keys[name]) if name != "contains" else spark.read.parquet(old).union(rows).distinct()
         rows.write.mode("overwrite").parquet(f"{a.out}/{name}")
     return 0
@@ -179,7 +189,7 @@ def cmd_verify(spark, a) -> int:
 
 
 def cmd_recall(spark, a) -> int:
-    table = read_nodes(spark, a.nodes)
+    table = read_nodes(spark, a.nodes, a.suffix, once=True)
     settings = Settings(k=a.k_cross, intra_k=a.k_intra, intra=tuple(a.intra))
     rows = candidates.targets(table, settings)
     edge_rows = evaluate.truth(reports.read_edges(spark, a.edges), rows)
@@ -195,21 +205,46 @@ def cmd_strm(spark, a) -> int:
     for framework, file in T.key_values(a.map, "--map").items():
         part = mapping.legs(mapping.read_workbooks(spark, os.path.join(a.dir, file)), framework, styles.get(framework, "iso"))
         out = part if out is None else out.unionByName(part)
+    if a.out.endswith(".json"):
+        mapping.write_nested_json(out, a.out)
+        shown(mapping.read_nested_json(spark, a.out).groupBy("framework").count(), 100, "legs")
+        return 0
     out.write.mode("overwrite").parquet(a.out)
     shown(spark.read.parquet(a.out).groupBy("framework").count(), 100, "legs")
     return 0
 
 
 def cmd_compare(spark, a) -> int:
-    table = nodes.keys(read_nodes(spark, a.nodes))
+    table = nodes.keys(read_nodes(spark, a.nodes, once=True))
     strm = mapping.read_nested_json(spark, a.strm) if a.strm.endswith(".json") else spark.read.parquet(a.strm)
+    mapping.assert_comparable(strm)
     ours = evaluate.own_pairs(reports.read_edges(spark, a.edges), table.withColumnRenamed("ref", "native_ref"))
-    pairs = evaluate.compared(ours, evaluate.comapped(strm), table.select("framework", "ref"), strm.select("framework", "ref"))
-    summary, few = evaluate.summary(pairs), evaluate.examples(pairs)
+    theirs, known, covered = evaluate.comapped(strm), table.select("framework", "ref"), strm.select("framework", "ref")
+    views = [("", ours, theirs, known, covered)]
+    if a.rollup:
+        up = lambda refs: evaluate.refs_up(refs, a.rollup)
+        relation = ours.groupBy("fw_a", "fw_b").agg(F.max("relation").alias("relation"))
+        views.append(("_rollup", evaluate.rolled_up(ours, a.rollup).join(relation, ["fw_a", "fw_b"]), evaluate.rolled_up(theirs, a.rollup), up(known), up(covered)))
     os.makedirs(a.out_dir, exist_ok=True)
-    for name, body in (("md", reports.markdown(summary, few)), ("json", reports.json_summary(summary))):
-        with open(os.path.join(a.out_dir, f"{a.out_prefix}.{name}"), "w", encoding="utf-8") as file:
-            file.write(body)
+    for name, *tables in views:
+        pairs = evaluate.compared(*tables)
+        summary, few = evaluate.summary(pairs), evaluate.examples(pairs)
+        for kind, lines in (("md", reports.markdown(summary, few, evaluate.coverage(*tables[2:]))), ("json", reports.json_summary(summary))):
+            with open(os.path.join(a.out_dir, f"{a.out_prefix}{name}.{kind}"), "w", encoding="utf-8") as file:
+                file.writelines(line + "\n" for line in lines)
+    return 0
+
+
+def cmd_refute(spark, a) -> int:
+    """Strong claims to a second reader; its downgrades go to --out."""
+    claims = adjudicate.strong(adjudicate.repaired(judgments.read_json(spark, a.judgments)))
+    adjudicate.refuted(claims, plugged(a.refuter)).write.mode("overwrite").json(a.out)
+    print(f"{spark.read.schema(schemas.DOWNGRADES).json(a.out).count()} of {claims.count()} overturned")
+    return 0
+
+
+def cmd_canonicalise(spark, a) -> int:
+    nodes.store(embed.canonicalised(read_nodes(spark, a.input, once=True), plugged(a.canonicaliser)), a.out)
     return 0
 
 
@@ -231,20 +266,23 @@ def parser() -> argparse.ArgumentParser:
     step("text", cmd_text, *source)
     step("check", cmd_check, nodes_flag)
     step("embed", cmd_embed, ("--in", {**many, "dest": "input"}), ("--out", need), ("--cache", need), ("--embedder", {"default": "mapweave.operators.embed:hashing_embedder"}), ("--batch", {"type": int, "default": 16}),
-         ("--force", {"action": "store_true"}), ("--dry-run", {"action": "store_true"}), ("--model", {"default": "stub"}), ("--instruction", {"default": ""}))
+         ("--force", {"action": "store_true"}), ("--dry-run", {"action": "store_true"}), ("--model", {"default": "stub"}), ("--instruction", {"default": ""}), ("--url", {"default": env("MAPWEAVE_EMBED_URL")}), ("--batches-a-write", {"type": int, "default": 1000}))
+    step("canonicalise", cmd_canonicalise, ("--in", {**many, "dest": "input"}), ("--canonicaliser", need), ("--out", need))
     step("candidates", cmd_candidates, ("--in", {**many, "dest": "input"}), ("--out", need), ("--k", {"type": int, "default": 8}), ("--floor", {"type": float, "default": 0.5}), ("--intra", {"action": "append", "default": []}),
          ("--intra-k", {"type": int, "default": 6}), ("--intra-floor", {"type": float, "default": 0.58}))
     step("prep", cmd_prep, ("--in", {**need, "dest": "input"}), ("--dir", need), ("--batch", {"type": int, "default": 35}), nodes_flag, ("--frameworks", {"nargs": "*"}), ("--pair-class", {"default": "any", "choices": ["any", "cross", "intra"]}),
          ("--ref-prefix", {}), ("--prefix", {"default": "batch"}))
-    step("adjudicate", cmd_adjudicate, ("batches", {}), ("--judge", need), ("--rubric", need), ("--out", need), ("--dry-run", {"action": "store_true"}))
+    step("adjudicate", cmd_adjudicate, ("batches", {}), ("--judge", {"default": "mapweave.sources.endpoints:no_judge"}), ("--provider", {"choices": sorted(endpoints.PROVIDERS)}), ("--model", {}), ("--rubric", need), ("--out", need),
+         ("--force", {"action": "store_true"}), ("--dry-run", {"action": "store_true"}))
+    step("refute", cmd_refute, ("--judgments", many), ("--refuter", need), ("--out", need))
     step("merge", cmd_merge, ("--judgments", many), ("--downgrades", {}), ("--batches", {}), ("--out", need))
     step("shard", cmd_shard, ("--in", {**many, "dest": "input"}), ("--out", need), ("--suffix", {"default": "_r2"}), ("--adjudicator", {"default": "unknown"}))
-    step("edges", cmd_edges, ("--judgments", many), nodes_flag, ("--candidates", {}), ("--out", need), ("--method", {"default": "llm"}), ("--adjudicator", {"default": "unknown"}))
+    step("edges", cmd_edges, ("--judgments", {"nargs": "*", "default": ["data/edges_*.jsonl"]}), nodes_flag, ("--candidates", {}), ("--out", need), ("--method", {"default": "llm"}), ("--adjudicator", {"default": "unknown"}))
     step("load", cmd_load, nodes_flag, ("--edges", need), ("--graph", {"default": env("MAPWEAVE_GRAPH", default="")}), ("--out", need), ("--with-embeddings", {"action": "store_true"}), ("--wipe", {"action": "store_true"}), ("--dry-run", {"action": "store_true"}))
     step("verify", cmd_verify, ("--graph", need), ("--framework", {}), ("--node-type", {}), ("--limit", {"type": int, "default": 40}), ("--direction", {"default": "any", "choices": ["any", "in", "out"]}))
-    step("recall", cmd_recall, nodes_flag, ("--edges", need), ("--k-cross", {"type": int, "default": 8}), ("--k-intra", {"type": int, "default": 6}), ("--intra", {"action": "append", "default": []}))
+    step("recall", cmd_recall, nodes_flag, ("--edges", need), ("--k-cross", {"type": int, "default": 8}), ("--k-intra", {"type": int, "default": 6}), ("--intra", {"action": "append", "default": []}), ("--suffix", {"default": ""}))
     step("strm", cmd_strm, ("--dir", need), ("--map", many), ("--ref-style", {"action": "append", "default": []}), ("--out", need))
-    step("compare", cmd_compare, ("--strm", need), nodes_flag, ("--edges", need), ("--out-dir", need), ("--out-prefix", {"default": "comparison"}))
+    step("compare", cmd_compare, ("--strm", need), nodes_flag, ("--edges", need), ("--out-dir", need), ("--out-prefix", {"default": "comparison"}), ("--rollup", {"action": "append", "default": []}))
     return top
 
 

@@ -68,7 +68,7 @@ def _styled(pattern: str, group: int) -> Callable[[Column], Column]:
     return style
 
 
-#: How external references are written, by name.
+#: How external references are written, by name. The patterns.
 REF_STYLES: dict[str, Callable[[Column], Column]] = {
     "iso": _styled("^[A-Za-z]?\\.?\\d+(?:\\.\\d+)*", 0),
     "caf": _styled("^[A-Za-z]+\\d+(?:\\.[A-Za-z0-9]+)*", 0),
@@ -84,7 +84,7 @@ def ref_style(name: str) -> Callable[[Column], Column]:
 
 
 def rejoined_capital(text: Column) -> Column:
-    """A capital split off its word comes back; A and I are words of their own."""
+    """A capital split off its word comes back; A and I are words of their own. Fixed value: the pattern."""
     return F.regexp_replace(squeeze(text), "\\b([B-HJ-Z]) (?=[a-z]{2})", "$1")
 
 
@@ -102,15 +102,6 @@ def digits(text: Column) -> Column:
     return F.when(plain.rlike("^[0-9]+$"), plain.try_cast("int"))
 
 
-def confidence(value: Column) -> Column:
-    """A number or its text, held within 0 and 1; anything else is null."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value.try_cast("double"))) if value is not None else F.lit(None)
-
-
-def pair_key(a: Column, b: Column) -> Column:
-    return F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
-
-
 def batch_name(number: Column, prefix: str = "batch") -> Column:
     return F.format_string(f"{prefix}_%03d", number)
 

@@ -29,6 +29,10 @@ def prompts(batches: DataFrame, rubric: str) -> DataFrame:
     return cells.select("batch", "n_pairs", F.concat(F.lit(rubric.strip() + "\n\n# Pairs\n\n"), body, F.lit("\n\n# Output\n\n" + _RULES)).alias("prompt"))
 
 
+#: How a reply begins that there wasn't.
+FAILED = "no reply: "
+
+
 class Transient(Exception):
     """Raised by a judge or embedder for what may pass: rate limits, server and transport errors."""
 
@@ -48,13 +52,22 @@ def with_retries(call: Callable, tries: int = 3, wait: float = 1.0) -> Callable:
     return tried
 
 
-def replies(prompted: DataFrame, judge: Callable[[str], str], tries: int = 3) -> DataFrame:
-    """batch and reply: one call of the judge a batch, on the executors."""
+def replies(prompted: DataFrame, judge: Callable[[str], str], tries: int = 3, failures: bool = False) -> DataFrame:
+    """batch and reply: one call of the judge a batch, on the executors. failures: a call that fails for good gives a reply
+    that says so (a line that validated() rejects), so that the other batches' outputs are kept."""
     ask = with_retries(judge, tries)
 
+    def answer(prompt: str) -> str:
+        try:
+            return ask(prompt)
+        except Exception as error:
+            if not failures:
+                raise
+            return FAILED + " ".join(str(error).split())
+
     def step(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.DataFrame({"batch": part["batch"], "reply": [ask(p) for p in part["prompt"]]})
+            yield pd.DataFrame({"batch": part["batch"], "reply": [answer(p) for p in part["prompt"]]})
 
     return prompted.select("batch", "prompt").repartition("batch").mapInPandas(step, "batch string, reply string")
 
@@ -77,7 +90,7 @@ def validated(lines: DataFrame) -> DataFrame:
     is_text = lambda name: F.schema_of_variant(F.try_variant_get("obj", f"$.{name}", "variant")) == "STRING"
     raw = get("confidence", "string")
     value = raw.try_cast("double")
-    problem = F.when(F.col("obj").isNull(), "not an object")
+    problem = F.when(F.col("line").startswith(FAILED), F.col("line")).when(F.col("obj").isNull(), "not an object")
     for name in (*KEY, "relation", "confidence", "rationale"):
         problem = problem.when(~has(name), f"missing {name}")
     problem = problem.when(~F.coalesce(get("relation", "string").isin(*VERDICTS), F.lit(False)), "unknown relation")
@@ -104,11 +117,6 @@ def missing_batches(manifest: DataFrame, outputs: DataFrame) -> DataFrame:
     return manifest.select("batch").distinct().join(outputs.select("batch").distinct(), "batch", "left_anti")
 
 
-def orphans(manifest: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Outputs of batches that the manifest no longer has."""
-    return missing_batches(outputs, manifest)
-
-
 def repaired(judgments: DataFrame) -> DataFrame:
     """References given as full ids put right; n_repaired counts them in the row."""
     fixed = {c: T.repaired_ref(F.col(c)) for c in ("source_ref", "target_ref")}
@@ -122,12 +130,13 @@ def downgraded(judgments: DataFrame, downgrades: DataFrame, seq: str | None = No
     A relation that changes caps the confidence and is noted in the rationale; a conflict flag that changes is set and noted.
     """
     down = repaired(downgrades).drop("n_repaired", "verdict")
-    down = latest(down, KEY, seq) if seq else down.dropDuplicates(KEY)
+    down = latest(down, KEY, seq)
     joined = judgments.join(down.withColumn("_hit", F.lit(True)), KEY, "left")
     hit, cap = F.coalesce("_hit", F.lit(False)), F.lit(schemas.DOWNGRADE_CONFIDENCE)
     changes = hit & F.coalesce((F.length("new_relation") > 0) & (F.col("new_relation") != F.col("relation")), F.lit(False))
     flags = hit & F.col("new_conflict").isNotNull() & (F.coalesce("conflict", F.lit(False)) != F.col("new_conflict"))
     note = F.coalesce("note", F.lit(""))
+    # The two notes.
     rationale = F.col("rationale")
     rationale = F.when(changes, F.concat(rationale, F.lit(" [downgraded from "), F.col("relation"), F.lit(" by verifier: "), note, F.lit("]"))).otherwise(rationale)
     rationale = F.when(flags & ~changes, F.concat(rationale, F.lit(" [conflict flag revised by verifier: "), note, F.lit("]"))).otherwise(rationale)
@@ -154,6 +163,31 @@ def strong(judgments: DataFrame) -> DataFrame:
     return judgments.where((F.col("relation") == "EQUIVALENT") | ((F.col("relation") == "PARTIAL") & (F.col("confidence") >= schemas.STRONG_CONFIDENCE)))
 
 
+def refuted(claims: DataFrame, refuter: Callable[[list[dict]], list[dict]], size: int = 35) -> DataFrame:
+    """Downgrades from a second reader, who gets up to `size` claims (as dicts) and gives for each a dict with verdict, note,
+    and, if it changes them, new_relation and new_conflict. Claims it confirms are left out."""
+    ask, fields = with_retries(refuter), ["verdict", "new_relation", "new_conflict", "note"]
+
+    def step(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = part.to_dict("records")
+            found = [x for at in range(0, len(rows), size) for x in ask(rows[at : at + size])]
+            if len(found) != len(rows):
+                raise ValueError(f"{len(rows)} claims, {len(found)} verdicts")
+            out = part[KEY].copy()
+            for c in fields:
+                out[c] = pd.Series([x.get(c) for x in found], index=out.index, dtype=object)
+            yield out
+
+    schema = ", ".join(f"{c} string" for c in [*KEY, "verdict", "new_relation"]) + ", new_conflict boolean, note string"
+    return overturned(claims.select(*KEY, "relation", "confidence", "rationale").mapInPandas(step, schema))
+
+
+def overturned(verdicts: DataFrame) -> DataFrame:
+    """Verdicts other than confirmed."""
+    return verdicts.where(F.lower(T.trim(F.coalesce("verdict", F.lit("")))) != "confirmed")
+
+
 def repeated_keys(judgments: DataFrame) -> DataFrame:
     return judgments.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 

@@ -1,8 +1,9 @@
 """Candidate pairs: exact cosine top-k of every node within its pools, then one record per unordered pair.
 
 Both ways give the same rows. by_sql() says what is meant in plain expressions. by_blocks() is the one to run: vectors are
-packed into blocks of BLOCK rows, each pair of blocks is one small matrix product that keeps the best k of each row, and a
-window merges them, so that memory is bounded by two blocks and the shuffle by k rows a node and block.
+packed into blocks of BLOCK_BYTES, once, as matrices; each pair of blocks is one cell of a grid, in which tiles of TILE rows
+are multiplied and the best k of each row kept, and a window merges the cells. A vector is sent once for each block, so n
+vectors of d numbers travel n * d * 8 / BLOCK_BYTES times; memory is bounded by two blocks and a tile.
 """
 
 from __future__ import annotations
@@ -11,14 +12,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mapweave.functions import text as T
+from mapweave.operators.upsert import latest
 from mapweave.schemas import Settings
 
-BLOCK = 512
+BLOCK_BYTES = 32 << 20
+#: Rows of a tile, and of the other side's.
+TILE, WIDE = 512, 4096
 _SCORED = "a_id string, b_id string, pool string, score double"
 
 
@@ -55,37 +60,69 @@ def _best(scored: DataFrame, settings: Settings) -> DataFrame:
     return scored.withColumn("_rank", rank).where(F.col("_rank") <= max(settings.k, settings.intra_k)).where(F.col("_rank") <= k).drop("_rank")
 
 
-def by_blocks(rows: DataFrame, settings: Settings, cross: bool = True, n_rows: int | None = None) -> DataFrame:
+def _packed(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """block, ids, frameworks, docs (in the order of the ids) and the vectors as one matrix of doubles, `width` numbers each."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, [("id", "ascending")]))
+        vectors = table.column("v").combine_chunks()
+        sizes = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+        matrix = np.zeros((len(sizes), int(sizes.max())))
+        matrix[np.arange(matrix.shape[1]) < sizes[:, None]] = pc.list_flatten(vectors).to_numpy()
+        cell = {c: [table.column(c).to_pylist()] for c in ("id", "framework", "doc")}
+        return pa.table({"block": table.column("block").slice(0, 1), "ids": pa.array(cell["id"], pa.list_(pa.string())), "frameworks": pa.array(cell["framework"], pa.list_(pa.string())), "docs": pa.array(cell["doc"], pa.list_(pa.string())), "width": pa.array([matrix.shape[1]], pa.int32()), "matrix": pa.array([matrix.tobytes()], pa.binary())})
+
+    dealt = rows.select("id", "framework", "doc", "v", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("long").alias("block"))
+    return dealt.groupBy("block").applyInArrow(pack, "block long, ids array<string>, frameworks array<string>, docs array<string>, width int, matrix binary")
+
+
+def _best_of(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the k highest scores of each row above minus infinity; of equal ones the first columns."""
+    k = min(k, scores.shape[1])
+    floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k] if k else np.full(len(scores), np.inf)
+    row, column = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
+    order = np.lexsort((column, -scores[row, column], row))
+    row, column = row[order], column[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[rank < k], column[rank < k]
+
+
+def by_blocks(rows: DataFrame, settings: Settings, cross: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """As by_sql()."""
-    n_blocks = max(1, -(-(n_rows if n_rows is not None else rows.count()) // BLOCK))
-    packed = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block")).agg(F.collect_list(F.struct("id", "framework", "doc", "v")).alias("rows"))
-    # Each block meets each other one: that is the exact search itself, block by block.
-    left = packed.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("other"), F.col("rows").alias("left"))
-    met = left.join(packed.select(F.col("block").cast("long").alias("other"), F.col("rows").alias("right")), "other")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(1)).alias("width")).first()
+    n_blocks = max(1, -(-size["n"] * size["width"] * 8 // block_bytes))
+    packed = _packed(rows, n_blocks)
+    left = packed.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("other"), F.struct("ids", "frameworks", "docs", "width", "matrix").alias("left"))
+    met = left.join(packed.select(F.col("block").alias("other"), F.struct("ids", "frameworks", "docs", "width", "matrix").alias("right")), "other")
     k_cross, k_intra, intra = settings.k, settings.intra_k, set(settings.intra)
 
-    def unpacked(cell: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        ids = np.array([r["id"] for r in cell], object)
-        return ids, np.array([r["framework"] for r in cell], object), np.array([r["doc"] for r in cell], object), np.array([r["v"] for r in cell], float)
+    def unpacked(cell: pa.StructScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        lists = [cell[c].values.to_numpy(zero_copy_only=False) for c in ("ids", "frameworks", "docs")]
+        return *lists, np.frombuffer(cell["matrix"].as_buffer(), float).reshape(len(lists[0]), -1)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                a_ids, a_fw, a_doc, a = unpacked(batch.column(0)[at].as_py())
-                b_ids, b_fw, b_doc, b = unpacked(batch.column(1)[at].as_py())
-                order = np.argsort(b_ids)
-                b_ids, b_fw, b_doc, b = b_ids[order], b_fw[order], b_doc[order], b[order]
-                scores, same = a @ b.T, a_fw[:, None] == b_fw[None, :]
-                pools = [("cross", k_cross, ~same)] if cross else []
-                if intra:
-                    pools.append(("intra", k_intra, same & np.isin(a_fw, list(intra))[:, None] & (a_doc[:, None] != b_doc[None, :])))
-                for pool, k, allowed in pools:
-                    held = np.where(allowed, scores, -np.inf)
-                    best = np.argsort(-held, axis=1, kind="stable")[:, :k]
-                    own = np.repeat(np.arange(len(a_ids)), best.shape[1])
-                    values = held[own, best.ravel()]
-                    good = values > -np.inf
-                    yield pa.RecordBatch.from_arrays([pa.array(a_ids[own][good], pa.string()), pa.array(b_ids[best.ravel()][good], pa.string()), pa.array([pool] * int(good.sum()), pa.string()), pa.array(values[good])], ["a_id", "b_id", "pool", "score"])
+                a_ids, a_fw, a_doc, a = unpacked(batch.column(0)[at])
+                b_ids, b_fw, b_doc, b = unpacked(batch.column(1)[at])
+                width = min(a.shape[1], b.shape[1])
+                for top in range(0, len(a), TILE):
+                    own = slice(top, top + TILE)
+                    held: dict[str, tuple[list, list, list]] = {"cross": ([], [], []), "intra": ([], [], [])}
+                    for first in range(0, len(b), WIDE):
+                        those = slice(first, first + WIDE)
+                        scores, same = a[own, :width] @ b[those, :width].T, a_fw[own, None] == b_fw[None, those]
+                        pools = [("cross", k_cross, ~same)] if cross else []
+                        if intra:
+                            pools.append(("intra", k_intra, same & np.isin(a_fw[own], list(intra))[:, None] & (a_doc[own, None] != b_doc[None, those])))
+                        for pool, k, allowed in pools:
+                            row, column = _best_of(np.where(allowed, scores, -np.inf), k)
+                            for to, x in zip(held[pool], (row, column + first, scores[row, column]), strict=True):
+                                to.append(x)
+                    for pool, parts in held.items():
+                        if parts[0]:
+                            row, column, score = (np.concatenate(x) for x in parts)
+                            yield pa.RecordBatch.from_arrays([pa.array(a_ids[own][row], pa.string()), pa.array(b_ids[column], pa.string()), pa.array([pool] * len(row), pa.string()), pa.array(score)], ["a_id", "b_id", "pool", "score"])
 
     return _best(met.select("left", "right").mapInArrow(step, _SCORED), settings)
 
@@ -105,17 +142,24 @@ def candidates(nodes: DataFrame, settings: Settings, cross: bool = True) -> Data
 
 
 def described(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """pairs with framework, reference, title and intent of both sides, the lower (framework, id) first."""
-    facts = nodes.select("id", F.struct("id", "framework", F.col("native_ref").alias("ref"), "title", "canonical_intent").alias("_n"))
+    """pairs with framework, reference, title and intent of both sides, the lower (framework, id) first; of nodes that
+    repeat an id the last counts."""
+    facts = _last(nodes, "framework", F.col("native_ref").alias("ref"), "title", "canonical_intent")
+    facts = facts.select("id", F.struct("id", "framework", "ref", "title", "canonical_intent").alias("_n"))
     both = pairs.join(facts.toDF("a_id", "_a"), "a_id").join(facts.toDF("b_id", "_b"), "b_id")
     swap = (F.col("_a.framework") > F.col("_b.framework")) | ((F.col("_a.framework") == F.col("_b.framework")) & (F.col("_a.id") > F.col("_b.id")))
     side = both.select("score", F.when(swap, F.col("_b")).otherwise(F.col("_a")).alias("_a"), F.when(swap, F.col("_a")).otherwise(F.col("_b")).alias("_b"))
     return side.select("score", *(F.col(f"_{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("id", "framework", "ref", "title", "canonical_intent")))
 
 
+def _last(nodes: DataFrame, *columns: Column | str) -> DataFrame:
+    seq = "seq" if "seq" in nodes.columns else None
+    return latest(nodes.select("id", *columns, *([seq] if seq else [])), ["id"], seq)
+
+
 def grounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """pairs with the verbatim text of both sides, cut at the limit; an unknown node gives an empty text."""
-    texts = nodes.select("id", "raw_text")
+    texts = _last(nodes, "raw_text")
     out = pairs.join(texts.toDF("a_id", "a_text"), "a_id", "left").join(texts.toDF("b_id", "b_text"), "b_id", "left")
     return out.withColumns({c: T.shortened(F.coalesce(c, F.lit(""))) for c in ("a_text", "b_text")})
 

@@ -60,6 +60,20 @@ def attached(nodes: DataFrame, rows: DataFrame, cache: DataFrame, model: str) ->
     return out.withColumns({"embedding": F.coalesce("_v", "embedding"), "embedding_model": F.when(has, F.lit(model)).otherwise(F.col("embedding_model")), "embedding_dim": F.when(has, F.size("_v")).otherwise(F.col("embedding_dim"))}).drop("_v").select(*nodes.columns)
 
 
+def canonicalised(nodes: DataFrame, canonicaliser: Callable[[list[str]], list[str]], mappable: tuple[str, ...] = Settings().mappable_types, batch: int = 16) -> DataFrame:
+    """nodes with canonical_intent written from the raw text where a mappable node has none; called on executors."""
+    call, empty = with_retries(canonicaliser), F.col("node_type").isin(*mappable) & ~T.filled(F.col("canonical_intent"))
+
+    def step(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            texts = part["raw_text"].fillna("").tolist()
+            yield pd.DataFrame({"raw_text": part["raw_text"], "_intent": [x for at in range(0, len(texts), batch) for x in call(texts[at : at + batch])]})
+
+    todo = nodes.where(empty & F.col("raw_text").isNotNull()).select("raw_text").distinct()
+    found = todo.mapInPandas(step, "raw_text string, _intent string")
+    return nodes.join(found, "raw_text", "left").withColumn("canonical_intent", F.when(empty, F.coalesce("_intent", "canonical_intent")).otherwise(F.col("canonical_intent"))).select(*nodes.columns)
+
+
 def hashing_embedder(dim: int = 64) -> Callable[[list[str]], list[list[float]]]:
     """A stand-in without a model: signed counts of hashed words, the same on every machine."""
     import zlib

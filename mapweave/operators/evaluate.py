@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mapweave.functions import text as T
+from mapweave.operators.upsert import latest
 
 
 def truth(edges: DataFrame, embedded: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def comapped(strm: DataFrame) -> DataFrame:
 
 def own_pairs(edges: DataFrame, nodes: DataFrame, seq: str | None = None) -> DataFrame:
     """fw_a, ref_a, fw_b, ref_b, relation of our edges across frameworks; of several edges of a pair the last (by seq)."""
-    facts = nodes.select("id", "framework", F.col("native_ref").alias("ref")).dropDuplicates(["id"])
+    facts = latest(nodes.select("id", "framework", F.col("native_ref").alias("ref"), *(c for c in nodes.columns if c == "seq")), ["id"], "seq" if "seq" in nodes.columns else None)
     both = edges.join(facts.toDF("source", "fw1", "ref1"), "source").join(facts.toDF("target", "fw2", "ref2"), "target").where("fw1 <> fw2")
     low = F.col("fw1") < F.col("fw2")
     pick = lambda x, y: F.when(low, F.col(x)).otherwise(F.col(y))
@@ -74,10 +75,29 @@ def summary(pairs: DataFrame) -> DataFrame:
         *(F.count_if(F.col("class") == k).alias(k) for k in ("agreement", "ours_only", "scf_only")))
 
 
-def rolled_up(pairs: DataFrame, frameworks: list[str]) -> DataFrame:
-    """(fw_a, ref_a, fw_b, ref_b) with the references of the frameworks one level up, distinct."""
-    up = lambda fw, ref: F.when(F.col(fw).isin(*frameworks), T.rolled_up(F.col(ref))).otherwise(F.col(ref)).alias(ref)
-    return pairs.select("fw_a", up("fw_a", "ref_a"), "fw_b", up("fw_b", "ref_b")).distinct()
+def coverage(known: DataFrame, covered: DataFrame) -> DataFrame:
+    """Per framework of the external mapping (covered: framework, ref): refs of our nodes, of the mapping, and of both."""
+    ours, theirs = known.select("framework", "ref").distinct(), covered.select("framework", "ref").distinct()
+    rows = ours.withColumn("_ours", F.lit(1)).join(theirs.withColumn("_theirs", F.lit(1)), ["framework", "ref"], "full_outer")
+    out = rows.groupBy("framework").agg(F.count("_ours").alias("ours"), F.count("_theirs").alias("external"), F.count(F.col("_ours") + F.col("_theirs")).alias("both"))
+    return out.where("external > 0")
+
+
+def refs_up(refs: DataFrame, frameworks: list[str]) -> DataFrame:
+    """(framework, ref) with the references of the frameworks one level up, distinct."""
+    return refs.select("framework", F.when(F.col("framework").isin(*frameworks), T.rolled_up(F.col("ref"))).otherwise(F.col("ref")).alias("ref")).distinct()
+
+
+def rolled_up(pairs: DataFrame, frameworks: DataFrame | list[str]) -> DataFrame:
+    """(fw_a, ref_a, fw_b, ref_b) with the references of the frameworks (a list, or a table with that column) one level up, distinct."""
+    if isinstance(frameworks, list):
+        frameworks = pairs.sparkSession.createDataFrame([(f,) for f in frameworks], "framework string")
+    named = frameworks.select("framework").distinct().withColumn("_up", F.lit(True))
+    rows = pairs
+    for side in "ab":
+        rows = rows.join(named.toDF(f"fw_{side}", f"_up_{side}"), f"fw_{side}", "left")
+    up = lambda side: F.when(F.col(f"_up_{side}"), T.rolled_up(F.col(f"ref_{side}"))).otherwise(F.col(f"ref_{side}")).alias(f"ref_{side}")
+    return rows.select("fw_a", up("a"), "fw_b", up("b")).distinct()
 
 
 def examples(pairs: DataFrame, n: int = 8) -> DataFrame:

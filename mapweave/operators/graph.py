@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mapweave import schemas
 from mapweave.functions import text as T
-from mapweave.operators.upsert import latest, upserted
+from mapweave.operators.upsert import latest, unique, upserted
 
 
 def versions(nodes: DataFrame) -> DataFrame:
@@ -16,9 +16,10 @@ def versions(nodes: DataFrame) -> DataFrame:
 
 
 def resolved(judgments: DataFrame, nodes: DataFrame) -> DataFrame:
-    """judgments with the ids and titles of both ends, null where the framework or node isn't known."""
+    """judgments with the ids and titles of both ends, null where the framework or node isn't known; of nodes that repeat
+    an id the last counts."""
     known = versions(nodes).select("framework", "version")
-    facts = nodes.select("id", "title")
+    facts = unique(nodes.select("id", "title", *(c for c in nodes.columns if c == "seq")))
     out = judgments
     for side in ("source", "target"):
         version = known.toDF(f"{side}_fw", "_version")
@@ -40,7 +41,7 @@ def edges(judgments: DataFrame, nodes: DataFrame, pairs: DataFrame | None = None
     ends = [F.col(f"{s}{x}").alias(f"{s}{y}") for s in ("source", "target") for x, y in (("", ""), ("_fw", "_framework"), ("_ref", "_ref"), ("_title", "_title"))]
     return rows.select(
         *ends, "relation", (F.col("relation") == "EQUIVALENT").alias("symmetric"), "confidence", "candidate_score", "rationale",
-        optional("method", "string", method), optional("adjudicator", "string", adjudicator), optional("conflict", "boolean", False))
+        optional("method", "string", method), optional("adjudicator", "string", adjudicator), optional("conflict", "boolean", False), *(c for c in judgments.columns if c == "seq"))
 
 
 def edge_problems(judgments: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -56,9 +57,9 @@ def edge_problems(judgments: DataFrame, nodes: DataFrame) -> DataFrame:
     return out.union(versions(nodes).where("n_versions > 1").select(F.lit("several versions"), "framework"))
 
 
-def graph_nodes(nodes: DataFrame, seq: str | None = None, with_embeddings: bool = False) -> DataFrame:
-    """Nodes with labels and flat properties, one per id (the last by seq). Core columns win over extra ones; nulls go."""
-    rows = latest(nodes, ["id"], seq) if seq else nodes.dropDuplicates(["id"])
+def graph_nodes(nodes: DataFrame, with_embeddings: bool = False) -> DataFrame:
+    """Nodes with labels and flat properties, one per id (the last). Core columns win over extra ones; nulls go."""
+    rows = unique(nodes)
     core = ["framework", "version", "native_ref", "node_type", "title", "raw_text", "canonical_intent"]
     extra = F.map_filter(F.coalesce("extra", F.create_map().cast("map<string,string>")), lambda k, v: v.isNotNull() & ~k.isin("id", *core))
     labels = F.array(F.lit("Node"), T.label(F.col("framework")), T.type_label(F.col("node_type")))
@@ -67,15 +68,20 @@ def graph_nodes(nodes: DataFrame, seq: str | None = None, with_embeddings: bool
 
 def contains(nodes: DataFrame) -> DataFrame:
     """CONTAINS from parent to child where both exist."""
+    nodes = unique(nodes.select("id", "parent_id", *(c for c in nodes.columns if c == "seq")))
     children = nodes.where("parent_id IS NOT NULL").select(F.col("parent_id").alias("src"), F.col("id").alias("dst")).distinct()
     return children.join(nodes.select(F.col("id").alias("src")).distinct(), "src").select("src", "dst", F.lit(schemas.CONTAINS).alias("type"))
 
 
-def relations(edge_rows: DataFrame, seq: str | None = None) -> DataFrame:
-    """Edges as relationships, one per (src, type, dst): the last by seq."""
+def relations(edge_rows: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """Edges as relationships, one per (src, type, dst): the last by `seq` if there is one. nodes: both ends must be there."""
+    seq = "seq" if "seq" in edge_rows.columns else None
+    if nodes is not None:
+        ids = nodes.select("id").distinct()
+        edge_rows = edge_rows.join(ids.toDF("source"), "source", "left_semi").join(ids.toDF("target"), "target", "left_semi")
     props = [c for c in ("confidence", "candidate_score", "rationale", "method", "adjudicator", "conflict", "symmetric") if c in edge_rows.columns]
     rows = edge_rows.select(F.col("source").alias("src"), F.col("relation").alias("type"), F.col("target").alias("dst"), *props, *([seq] if seq else []))
-    return latest(rows, ["src", "type", "dst"], seq) if seq else rows.dropDuplicates(["src", "type", "dst"])
+    return latest(rows, ["src", "type", "dst"], seq)
 
 
 def with_upserts(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -83,10 +89,6 @@ def with_upserts(old: DataFrame, new: DataFrame) -> DataFrame:
     return upserted(old, new, ["src", "type", "dst"])
 
 
-def key_violations(nodes: DataFrame) -> DataFrame:
-    return nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
 def gaps(nodes: DataFrame, rels: DataFrame, framework: str | None = None, node_type: str | None = None, mappable: tuple[str, ...] = schemas.MAPPABLE_TYPES, direction: str = "any") -> DataFrame:
     """Nodes without a coverage edge; direction: any, in or out. CONTAINS doesn't cover."""
     cover = rels.where(F.col("type").isin(*schemas.RELATIONS))
@@ -98,6 +100,7 @@ def gaps(nodes: DataFrame, rels: DataFrame, framework: str | None = None, node_t
 
 
 def by_label(nodes: DataFrame, label: str) -> DataFrame:
+    """Graph nodes with a label."""
     return nodes.where(F.array_contains("labels", label))
 
 

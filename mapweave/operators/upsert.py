@@ -6,13 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """Per key the row with the highest seq, without seq; one partial aggregate, no sort."""
+def latest(rows: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
+    """Per key the row with the highest seq, without seq; one partial aggregate, no sort.
+
+    Without a seq the row that is the greatest as JSON, so that the same rows in any order give the same result.
+    """
     rest = [c for c in rows.columns if c not in {*keys, seq}]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_row"))
+    if not rest:
+        return rows.select(*keys).distinct()
+    order = F.col(seq) if seq else F.to_json(F.struct(*rest))
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
     return best.select(*keys, *(F.col("_row")[c].alias(c) for c in rest))
 
 
+def unique(nodes: DataFrame) -> DataFrame:
+    """One row per node id: the last by `seq`, where readers have put that column."""
+    return latest(nodes, ["id"], "seq" if "seq" in nodes.columns else None)
+
+
 def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old with the rows of new put over them; nulls of new count, and maps keep what new doesn't name."""
     maps = [f.name for f in old.schema if f.dataType.typeName() == "map"]

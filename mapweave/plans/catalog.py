@@ -39,11 +39,6 @@ def candidates_cross(spark, d):
     return X.pairs(spark, d).orderBy(F.desc("score"), "a_id", "b_id")
 
 
-@query(f"WITH {X.PAIRS} SELECT a_id, b_id, score FROM pairs")
-def candidates_cross_sql_path(spark, d):
-    return candidates.pairs_of(candidates.by_sql(candidates.targets(X.vector_nodes(spark, d), X.CROSS), X.CROSS), X.CROSS)
-
-
 @query(f"WITH {X.VECTOR_NODES}, {X.INTRA_BEST} SELECT least(a_id, b_id) AS a_id, greatest(a_id, b_id) AS b_id, round(max(s), 4) AS score FROM intra_best WHERE s >= {X.INTRA_FLOOR} GROUP BY 1, 2")
 def candidates_intra(spark, d):
     return candidates.pairs_of(X.best(spark, d, X.BOTH, cross=False), X.BOTH)
@@ -253,7 +248,7 @@ def graph_upsert(spark, d):
     """The second round's confidence replaces the first's."""
     nodes = X.vector_nodes(spark, d)
     rows = adjudicate.typed(adjudicate.repaired(X.judgments(spark, d, rounds=True)))
-    one, two = (graph.relations(graph.edges(rows.where(f"seq = {k}"), nodes)) for k in (1, 2))
+    one, two = (graph.relations(graph.edges(rows.where(f"seq = {k}").drop("seq"), nodes)) for k in (1, 2))
     return graph.with_upserts(one, two).select("src", "type", "dst", "confidence")
 
 
@@ -416,7 +411,7 @@ def crosscheck_examples(spark, d):
     SELECT fw_a, fw_b, sum(o)::BIGINT AS ours, sum(t)::BIGINT AS scf, sum((o = 1 AND t = 1)::INT)::BIGINT AS agreement FROM (SELECT fw_a, ref_a, fw_b, ref_b, max(o) AS o, max(t) AS t FROM (SELECT *, 1 AS o, 0 AS t FROM o UNION ALL SELECT *, 0, 1 FROM t) GROUP BY ALL) GROUP BY 1, 2""")
 def crosscheck_rollup(spark, d):
     """Both sides with the first reference one level up: here its last digit counts as a level."""
-    brands = [r[0] for r in X.table(spark, d, "part").select("p_brand").distinct().limit(1000).collect()]
+    brands = X.table(spark, d, "part").select(F.col("p_brand").alias("framework"))
     dotted = F.concat(F.expr("left(ref_a, length(ref_a) - 1)"), F.lit("."), F.expr("right(ref_a, 1)"))
     one = evaluate.rolled_up(X.part_pairs(spark, d).withColumn("ref_a", dotted).withColumn("ref_b", F.concat("ref_b", F.lit(".x"))), brands)
     two = evaluate.rolled_up(evaluate.comapped(X.strm(spark, d)).withColumn("ref_a", dotted).withColumn("ref_b", F.concat("ref_b", F.lit(".x"))), brands)
@@ -449,12 +444,16 @@ def strength_correlation(spark, d):
 
 # ------------------------------------------------------------------ texts
 
-_REFS = [("iso", "A.5.17 Title text"), ("iso", "5.1 (old) x"), ("iso", "none"), ("caf", "A1.a Some title"), ("caf", "?"), ("article", "article 5(1)(a)"), ("article", "Art 5"), ("section", "SECTION 2.3 - Access"), ("section", "s 1")]
+#: Style, reference as written, and what the style makes of it by hand.
+_REFS = [
+    ("iso", "B.7.2.1 Log retention", "B.7.2.1"), ("iso", "12.4 (withdrawn) rest", "12.4"), ("iso", "appendix", "appendix"), ("caf", "C2.b Threat hunting", "C2.b"), ("caf", "--", "--"),
+    ("article", "ARTICLE 21(2)(d)", "ARTICLE 21"), ("article", "Recital 9", "Recital 9"), ("section", "section 14.6 / Backup", "section 14.6"), ("section", "part 3", "part 3"),
+]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{r}', '{n}')" for (s, r), n in zip(_REFS, ["A.5.17", "5.1", "none", "A1.a", "?", "article 5", "Art 5", "SECTION 2.3", "s 1"], strict=True)) + ") t(style, ref, normal)")
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{r}', '{n}')" for s, r, n in _REFS) + ") t(style, ref, normal)")
 def ref_normalise_styles(spark, d):
-    rows = spark.createDataFrame(_REFS, "style string, ref string")
+    rows = spark.createDataFrame([x[:2] for x in _REFS], "style string, ref string")
     normal = F.lit(None).cast("string")
     for name, style in T.REF_STYLES.items():
         normal = F.when(F.col("style") == name, style(F.col("ref"))).otherwise(normal)
@@ -486,10 +485,10 @@ def first_occurrence_and_table_flag(spark, d):
     return rows.select(F.col("file").alias("doc_id"), "pos", "seg", flag.alias("in_table"))
 
 
-@query("SELECT doc_id, upper(trim(regexp_replace(left(text, 40), '[^A-Za-z0-9]+', '-', 'g'), '-')) AS slug, CASE WHEN length(text) <= 80 THEN text ELSE left(text, 77) || '...' END AS title FROM documents")
+@query("SELECT doc_id, upper(trim(regexp_replace(text, '[^A-Za-z0-9]+', '-', 'g'), '-')) AS slug, CASE WHEN length(text) <= 80 THEN text ELSE left(text, 77) || '...' END AS title FROM documents")
 def slugs_and_titles(spark, d):
     rows = X.table(spark, d, "documents")
-    return rows.select("doc_id", T.slug(F.substring("text", 1, 40)).alias("slug"), T.title_of(F.col("text")).alias("title"))
+    return rows.select("doc_id", T.slug(F.col("text")).alias("slug"), T.title_of(F.col("text")).alias("title"))
 
 
 _NESTED = '{"version": "4.0", "objectives": [{"ref": "A", "title": "Managing  risk", "description": "", "principles": [{"ref": "A1", "title": "Governance", "description": "Have it.", "outcomes": [{"ref": "A1.a", "title": "Board", "description": "Direction.", "igps": {"achieved": ["First.", "Second."]}}]}]}]}'
@@ -502,11 +501,11 @@ def nested_explode(spark, d):
     return documents.nested_nodes(docs).select("id", "node_type", "title", "raw_text", "parent_id")
 
 
-_TEXT = ["CAF - Objective A - Managing risk", "Text of A.", "12", "Principle A1 Governance", "A1.a R esponse Plan (within", "Monitoring) goes on", "and on.", "Not Achieved", "hidden row", "A1.b Roles", "A1.a Repeat as body", "Contents ........ 3", "© Crown copyright", "A1.c gone"]
+_TEXT = ["CAF - Objective C - Seeing what goes on", "What it is for.", "7", "Principle C1 Watching", "C1.a L og Sources (all that", "matter) are known", "and kept.", "Not Achieved", "cell of the table", "C1.b Alarms", "C1.a Said again in the text", "Glossary ........ 41", "© Crown copyright", "C1.c after the end"]
 
 
-@query("""SELECT * FROM (VALUES ('CAF:4.0:A', 'objective', 'Managing risk', 'Text of A.', NULL), ('CAF:4.0:A1', 'principle', 'Governance', 'Governance', 'CAF:4.0:A'),
-    ('CAF:4.0:A1.a', 'outcome', 'Response Plan (within Monitoring)', 'goes on and on.', 'CAF:4.0:A1'), ('CAF:4.0:A1.b', 'outcome', 'Roles', 'A1.a Repeat as body', 'CAF:4.0:A1')) t(id, node_type, title, raw_text, parent_id)""")
+@query("""SELECT * FROM (VALUES ('CAF:4.0:C', 'objective', 'Seeing what goes on', 'What it is for.', NULL), ('CAF:4.0:C1', 'principle', 'Watching', 'Watching', 'CAF:4.0:C'),
+    ('CAF:4.0:C1.a', 'outcome', 'Log Sources (all that matter)', 'are known and kept.', 'CAF:4.0:C1'), ('CAF:4.0:C1.b', 'outcome', 'Alarms', 'C1.a Said again in the text', 'CAF:4.0:C1')) t(id, node_type, title, raw_text, parent_id)""")
 def running_text(spark, d):
     lines = documents.numbered_lines(spark.createDataFrame([("f", "\n".join(_TEXT))], "file string, text string"))
     return documents.running_text_nodes(lines).select("id", "node_type", "title", "raw_text", "parent_id")

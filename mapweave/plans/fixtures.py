@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapweave.operators import candidates, graph
+from mapweave.plans import written
 from mapweave.schemas import Settings
 
 FLOOR, INTRA_FLOOR = 0.30, 0.25
@@ -34,7 +35,8 @@ VECTOR_NODES = """nodes AS (SELECT 'F' || label || ':1.0:' || vec_id AS id, 'F'
 
 
 def best(spark: SparkSession, sf_dir: str, settings: Settings = CROSS, cross: bool = True) -> DataFrame:
-    return candidates.by_blocks(candidates.targets(vector_nodes(spark, sf_dir), settings), settings, cross)
+    found = lambda: candidates.by_blocks(candidates.targets(vector_nodes(spark, sf_dir), settings), settings, cross)
+    return written.once(spark, sf_dir, f"best-{len(settings.intra)}-{cross}", found)
 
 
 CROSS_BEST = f"""{VECTOR_NODES},
@@ -45,8 +47,8 @@ intra_best AS (SELECT a_id, b_id, s FROM (SELECT *, row_number() OVER (PARTITION
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """a_id, b_id, score of the cross pool."""
-    return candidates.pairs_of(best(spark, sf_dir), CROSS)
+    """a_id, b_id, score of the cross pool, found once a session."""
+    return written.once(spark, sf_dir, "pairs", lambda: candidates.pairs_of(best(spark, sf_dir), CROSS))
 
 
 PAIRS = f"""{CROSS_BEST},
@@ -112,7 +114,7 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.edges(typed(spark, sf_dir), vector_nodes(spark, sf_dir), pairs(spark, sf_dir))
+    return graph.edges(typed(spark, sf_dir).drop("seq"), vector_nodes(spark, sf_dir), pairs(spark, sf_dir))
 
 
 EDGES = f"""{JUDGMENTS},

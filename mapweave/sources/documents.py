@@ -27,6 +27,7 @@ def _so_far(file_cols: list[str]) -> Window:
 
 # ------------------------------------------------------------------ two columns
 
+# How a section and a row of two columns are told.
 _SECTION, _ROW = "^#\\s*(.+)$", "^(\\S+)(?:\\t| {2,})\\s*(.+)$"
 
 
@@ -98,7 +99,9 @@ HEADINGS = {
     "principle": "^Principle\\s+([A-D]\\d+)\\s+(.+)$",
     "outcome": "^([A-D]\\d+\\.[a-z])\\s+(.+)$",
 }
-TABLE = "^(?:(?:Not Achieved|Partially Achieved|Achieved)\\b|At least one of the following|All the following)"
+# How a table's head is told, and how its lead-in lines begin.
+TABLE_HEAD = "^(Not Achieved|Partially Achieved|Achieved)\\b"
+TABLE_LEADS = ("At least one of the following", "All the following")
 NOISE = "^(?:National Cyber Security Centre|The Cyber Assessment Framework|\\d+)\\s*$"
 CONTENTS = "\\.{4,}\\s*\\d+\\s*$"
 FOOTER = "© Crown copyright"
@@ -123,7 +126,7 @@ def segmented(lines: DataFrame) -> DataFrame:
     rows = lines.withColumns({"_kind": kind, "ref": ref, "heading": title})
     first = F.row_number().over(Window.partitionBy("file", "ref").orderBy("pos")) == 1
     rows = rows.withColumn("accepted", F.col("_kind").isNotNull() & first)
-    rows = rows.withColumn("kind", F.when(F.col("accepted"), F.col("_kind")).when(F.col("line").rlike(TABLE), "table").otherwise("body")).drop("_kind")
+    rows = rows.withColumn("kind", F.when(F.col("accepted"), F.col("_kind")).when(F.col("line").rlike(TABLE_HEAD) | F.col("line").startswith(TABLE_LEADS[0]) | F.col("line").startswith(TABLE_LEADS[1]), "table").otherwise("body")).drop("_kind")
     so_far = _so_far(["file"])
     rows = rows.withColumns({
         "seg": F.sum(F.col("accepted").cast("int")).over(so_far),

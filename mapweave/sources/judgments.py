@@ -39,15 +39,29 @@ def write_batches(batches: DataFrame, path: str) -> None:
     batches.drop("batch_no").write.mode("overwrite").partitionBy("batch").json(path)
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Batch files: folders of write_batches(), or files that hold an array of pairs; anything else is an error."""
+    folder = spark.read.option("mode", "FAILFAST").option("multiLine", not path.rstrip("/").endswith("*") and path.endswith(".json")).json(path)
+    if "batch" not in folder.columns:
+        folder = folder.withColumn("batch", F.regexp_extract(F.col("_metadata.file_name"), "([^/]*)\\.json", 1))
+    if "a_id" not in folder.columns or "b_id" not in folder.columns:
+        raise ValueError(f"{path} doesn't hold an array of pairs")
+    return folder
+
+
+def write_outputs(judged: DataFrame, path: str) -> None:
+    """One directory a batch; those of other batches stay."""
+    _replacing(judged, path, "parquet", "batch")
+
+
+def _replacing(rows: DataFrame, path: str, kind: str, *keys: str) -> None:
+    """Only the directories that rows have are replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(kind).save(path)
+
+
 def write_shards(rows: DataFrame, path: str) -> None:
     """JSON lines by framework pair and round; other rounds stay."""
-    spark = rows.sparkSession
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        rows.drop("shard").write.mode("overwrite").partitionBy("fw_lo", "fw_hi", "round").json(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    _replacing(rows.drop("shard"), path, "json", "fw_lo", "fw_hi", "round")
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +26,28 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/edges")
 
 
-def markdown(summary: DataFrame, examples: DataFrame, limit: int = 1000) -> str:
-    """The report as text: one line a framework pair, then its examples. limit bounds the pairs that come to the driver."""
-    out = ["# Comparison", "", "| frameworks | ours | external | within our nodes | agreement | ours only | external only |", "|-|-|-|-|-|-|-|"]
-    rows = summary.orderBy("fw_a", "fw_b").limit(limit).collect()
-    out += [f"| {r['fw_a']} / {r['fw_b']} | {r['ours']} | {r['scf']} | {r['scf_known']} | {r['agreement']} | {r['ours_only']} | {r['scf_only']} |" for r in rows]
-    shown = examples.orderBy("fw_a", "fw_b", "class", "rank").limit(24 * limit).collect()
-    for r in shown:
-        out.append(f"- {r['fw_a']} / {r['fw_b']}, {r['class']}: {r['text']}")
-    return "\n".join(out) + "\n"
-
-
-def json_summary(summary: DataFrame, limit: int = 1000) -> str:
-    return json.dumps([r.asDict() for r in summary.orderBy("fw_a", "fw_b").limit(limit).collect()], ensure_ascii=False, indent=2)
+def markdown(summary: DataFrame, examples: DataFrame, coverage: DataFrame | None = None, title: str = "Comparison") -> Iterator[str]:
+    """The report's lines: coverage by framework, one line a framework pair, then its examples; rows come to the driver one
+    partition at a time."""
+    yield f"# {title}"
+    if coverage is not None:
+        yield from ("", "| framework | our nodes | external | both |", "|-|-|-|-|")
+        for r in coverage.orderBy("framework").toLocalIterator():
+            yield f"| {r['framework']} | {r['ours']} | {r['external']} | {r['both']} |"
+    yield from ("", "| frameworks | ours | external | within our nodes | agreement | ours only | external only |", "|-|-|-|-|-|-|-|")
+    for r in summary.orderBy("fw_a", "fw_b").toLocalIterator():
+        yield f"| {r['fw_a']} / {r['fw_b']} | {r['ours']} | {r['scf']} | {r['scf_known']} | {r['agreement']} | {r['ours_only']} | {r['scf_only']} |"
+    for r in examples.orderBy("fw_a", "fw_b", "class", "rank").toLocalIterator():
+        yield f"- {r['fw_a']} / {r['fw_b']}, {r['class']}: {r['text']}"
+
+
+def json_summary(summary: DataFrame) -> Iterator[str]:
+    """The lines of a JSON array, one object a framework pair."""
+    yield "["
+    before = ""
+    for r in summary.orderBy("fw_a", "fw_b").toLocalIterator():
+        if before:
+            yield before + ","
+        before = "  " + json.dumps(r.asDict(), ensure_ascii=False)
+    yield from ([before] if before else [])
+    yield "]"

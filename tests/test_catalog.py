@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from mapweave.plans import catalog
+from mapweave.plans import catalog, files  # noqa: F401  files registers its queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,11 +23,7 @@ def plain(row):
     return str(sorted((k, round(v, 6) if isinstance(v, float) else str(v)) for k, v in row.items()))
 
 
-FEW = ["candidates_cross", "candidates_cross_sql_path", "candidates_intra", "batch_numbering", "apply_downgrades", "build_edges", "edge_problems", "graph_upsert", "gap_nodes", "recall_at_k", "crosscheck_summary", "crosscheck_rollup",
-       "embed_cache_hit_miss", "extra_flatten", "validate_nodes", "ref_normalise_styles", "first_occurrence_and_table_flag", "nested_explode", "running_text", "two_column_text", "version_diff", "doc_type_mix", "last_wins"]
-
-
-@pytest.mark.parametrize("name", FEW)
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_against_duckdb(spark, duck, name):
     rows = catalog.QUERIES[name](spark, SF).collect()
     found = duck.execute(catalog.ORACLE_SQL[name])

@@ -66,5 +66,5 @@ def test_one_framework_can_not_be_compared(spark, tmp_path):
     from mapweave.sources import mapping
 
     with pytest.raises(ValueError):
-        mapping.read_nested_json(spark, str(tmp_path / "s.json"))
+        mapping.assert_comparable(mapping.read_nested_json(spark, str(tmp_path / "s.json")))
     assert evaluate is not None

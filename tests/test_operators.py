@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,11 +100,20 @@ def test_block_path_is_the_sql_path(spark):
     df = spark.createDataFrame(rows, "id string, framework string, doc string, v array<double>").withColumn("v", T.unit(F.col("v")))
     s = Settings(k=4, intra_k=3, intra=("F0", "F1"))
     key = lambda r: (r["a_id"], r["pool"], r["b_id"])
-    before, candidates.BLOCK = candidates.BLOCK, 16
-    try:
-        assert [len(x) for x in ({key(r) for r in candidates.by_sql(df, s).collect()},)] == [len({key(r) for r in candidates.by_blocks(df, s).collect()})]
-    finally:
-        candidates.BLOCK = before
+    want = {key(r): r["score"] for r in candidates.by_sql(df, s).collect()}
+    for block_bytes in (24 * 16, 1 << 20):
+        got = {key(r): r["score"] for r in candidates.by_blocks(df, s, block_bytes=block_bytes).collect()}
+        assert len(got) == len(want) and sorted(round(x, 9) for x in got.values()) == sorted(round(x, 9) for x in want.values())
+
+
+def test_best_of_a_tile_keeps_the_first_of_equals():
+    r = np.random.default_rng(1)
+    for _ in range(50):
+        scores = r.integers(0, 4, (5, 9)).astype(float)
+        scores[r.random(scores.shape) < 0.3] = -np.inf
+        row, column = candidates._best_of(scores, 3)
+        want = [(i, j) for i in range(5) for j in sorted(range(9), key=lambda j: (-scores[i, j], j))[:3] if scores[i, j] > -np.inf]
+        assert list(zip(row.tolist(), column.tolist(), strict=True)) == want
 
 
 def test_mixed_embeddings_are_an_error(spark):
