@@ -41,8 +41,6 @@ _LAST = 0x100
 #: Code points of Latin script and what goes with it; without those that libraries see differently as white space.
 _PLAIN = np.array([not (0x1C <= c <= 0x1F or c in (0x85, 0xA0)) for c in range(0x250)])
 _SPACE = re.compile("[ \t\n\v\f\r]")
-#: The lowest 0 to 8 bytes of a 64-bit integer.
-_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Symbols of texts that go through the tables at once; a longer text is cut at white space.
 BATCH = 2 << 20
 #: States of the table after which it is begun anew.
@@ -260,29 +258,15 @@ class Table:
 
     def encode(self, raw: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of all words, one after the other, and how many each word has. Each different word goes through the
-        tables once: words of up to 16 bytes are told apart by these bytes."""
-        padded = np.frombuffer(raw + bytes(16), np.uint8)
-        eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
-        sizes = ends - begins
-        low = eight[begins] & _MASKS[np.minimum(sizes, 8)]
-        high = np.where(sizes > 8, eight[np.minimum(begins + 8, len(raw))] & _MASKS[np.clip(sizes - 8, 0, 8)], np.uint64(0))
-        mixed = (low ^ low >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) ^ (high + sizes.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(29)
-        mixed[sizes > 16] = np.arange(np.count_nonzero(sizes > 16), dtype=np.uint64)
-        _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
-        of = first[which]
-        if not ((low == low[of]) & (high == high[of]) & (sizes == sizes[of]) & ((sizes <= 16) | (of == np.arange(len(of))))).all():
-            first = which = np.arange(len(sizes))
-        begins, ends, sizes = begins[first], ends[first], sizes[first]
+        tables once."""
+        first, which = shared.distinct_words(raw, begins, ends)
+        sizes = (ends - begins)[first]
         own = np.cumsum(sizes)
-        joined = np.repeat(begins - own + sizes, sizes) + np.arange(own[-1] if len(own) else 0)  # only the words that are looked up
-        found = self.run(padded[joined].astype(np.int64), own - sizes, own)
+        found = self.run(shared.rows_of(np.frombuffer(raw, np.uint8), begins[first], sizes).astype(np.int64), own - sizes, own)
         places = np.flatnonzero(found >= 0)
         until = np.searchsorted(places, own)
         n = np.diff(np.r_[0, until])
-        begin, n = (until - n)[which], n[which]
-        total = np.cumsum(n)
-        return found[places][np.repeat(begin - total + n, n) + np.arange(total[-1] if len(total) else 0)], n
+        return shared.rows_of(found[places], (until - n)[which], n[which]), n[which]
 
 
 class Encoder:

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
         if "root" not in _LOCAL:
             _LOCAL["root"] = tempfile.mkdtemp(prefix="mapweave-")
         root = _LOCAL["root"]
-    return root.rstrip("/")
+    return _with_scheme(spark, root.rstrip("/"))
+
+
+def _with_scheme(spark: SparkSession, path: str) -> str:
+    """The path as Spark reads it: one without a scheme is in the default file system."""
+    if "://" in path:
+        return path
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file:///") else whole
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -94,6 +104,47 @@ def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(step, schema)
 
 
+_BLANK = bytes(c in b" \t\n\v\f\r" for c in range(256))
+#: The lowest 0 to 8 bytes of a 64-bit integer.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def split_words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes one after the other, begins and ends of their words (runs without ASCII white space), and how many each text has."""
+    raw = b"\n".join([*texts, b""])
+    blank = np.frombuffer(raw.translate(_BLANK), np.bool_)
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if len(raw) and not blank[0]:
+        edges = np.r_[0, edges]
+    begins, ends = edges[::2], edges[1::2]
+    until = np.searchsorted(begins, np.cumsum([len(x) + 1 for x in texts], dtype=np.int64))
+    return raw, begins, ends, np.diff(np.r_[0, until])
+
+
+def distinct_words(raw: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of different words among these, and for each word its place among those; words of up to 16 bytes are told apart
+    by these bytes, a longer one is a word of its own."""
+    padded = np.frombuffer(raw + bytes(16), np.uint8)
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    sizes = ends - begins
+    low = eight[begins] & _MASKS[np.minimum(sizes, 8)]
+    high = np.where(sizes > 8, eight[np.minimum(begins + 8, len(raw))] & _MASKS[np.clip(sizes - 8, 0, 8)], np.uint64(0))
+    mixed = (low ^ low >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) ^ (high + sizes.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(29)
+    mixed[sizes > 16] = np.arange(np.count_nonzero(sizes > 16), dtype=np.uint64)
+    _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
+    of = first[which]
+    if not ((low == low[of]) & (high == high[of]) & (sizes == sizes[of]) & ((sizes <= 16) | (of == np.arange(len(of))))).all():
+        return np.arange(len(sizes)), np.arange(len(sizes))
+    return first, which
+
+
+def rows_of(values: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The values at begins, begins + 1 and so on, as many of each as counts says, one after the other."""
+    total = np.cumsum(counts)
+    return values[np.repeat(begins - total + counts, counts) + np.arange(total[-1] if len(total) else 0)]
+
+
 class TwoGenerations:
     """A bounded memo: when the young half is full it becomes the old one, and what is used again moves over."""
 
