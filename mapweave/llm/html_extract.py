@@ -1,16 +1,20 @@
 """Main text of web pages by wrapper induction.
 
-Each page is parsed into a DOM tree whose repeated siblings are folded. The commonest folded tree of a host is its
-wrapper; the trees of the host's other pages are aligned with it by simple tree matching (the largest mapping that
-keeps order and ancestry), which gives each text block a slot of the wrapper. A slot whose text is constant over the
-host's pages is template and goes; a slot that varies is content, unless it lies in an element made for something else
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments). A text counts as constant if most of the
-host's different pages have it; pages with the same blocks count once, so that copies of one article don't make it a
-template. Within an explicit article the bar is higher.
-
-Hosts are never gathered: wrappers and constant texts come from aggregates by (host, tree) and (host, slot, text).
-Null or empty html gives an empty text; a url without a host counts as a host of its own kind; rows that repeat give
-rows that repeat. Broken markup is read as browsers do: open elements end where their kind can't go on.
+Each page is parsed into a DOM tree in which siblings with the same label (tag, classes) are one node. The commonest tree of
+a host is its wrapper; the trees of the host's other pages are aligned with it by simple tree matching (the largest mapping
+that keeps order and ancestry), which gives each text block a slot of the wrapper. A text that most of the host's different
+pages have in a slot is template and goes; pages with the same blocks count once, so that copies of one article don't make
+it a template. What varies is weighed: each slot of the wrapper gets the length of its different texts, and the content is
+what stands below the explicit articles (article, main) if they hold half of the weight, else below the innermost
+element that holds nearly all of it. Elements made for something else by tag or role (menus, footers, asides, forms,
+scripts) have no weight; an element whose class or id says so (adverts, comments, banners) has none unless it
+holds an article, or, if it has elements itself, most of the weight. A page whose blocks the wrapper doesn't know, or whose host has too few
+different pages to tell what varies, is weighed on its own tree.
+
+Hosts are never gathered: wrappers, constant texts and weights come from aggregates by (host, tree), (host, slot, text) and
+(host, slot). Null or empty html gives an empty text; a url without a host counts as a host of its own kind; rows that repeat
+give rows that repeat. Broken markup is read as browsers do: open elements end where their kind can't go on, and a tag that
+the page's end cuts off is dropped.
 """
 
 from __future__ import annotations
@@ -22,12 +26,14 @@ from html import unescape
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|["'=])*>""", re.S)
+#: Possessive throughout, so that a tag without an end costs one pass.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|</?[a-zA-Z](?>[^>"'=]++|=\s*+(?>"[^"]*+"|'[^']*+')?+|["'])*+>""", re.S)
+_CUT_OFF = re.compile(r"</?[a-zA-Z]")
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -53,12 +59,16 @@ _ENDS = {
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
 _SCOPE = frozenset(["table", "td", "th", "button", "object", "html", "body"])
-DEPTH = 40
+#: Put before the label of an element whose class or id has one of MARKS.
+MARKED = "!"
+#: Shares of the weight: of the articles for them to be the content, of an element for its marks to say nothing or for it to
+#: be looked into, of an article beside the largest.
+ARTICLES, MOST, BESIDE = 0.5, 0.75, 1 / 3
 
 
 def _marks(tag: str, token: str) -> tuple[bool, str]:
-    """Whether the element isn't part of an article; its label in the folded tree."""
-    off, label = tag in ASIDE, tag
+    """Whether the element is made for something else by tag or role; its label in the tree."""
+    off, label, marked = tag in ASIDE, tag, False
     if " " in token or "\n" in token:
         for m in _ATTRIBUTE.finditer(token, len(tag) + 1):
             name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
@@ -68,46 +78,38 @@ def _marks(tag: str, token: str) -> tuple[bool, str]:
                 off = off or value in ROLES
             elif name in ("class", "id"):
                 words = _SPLIT.split(value)
-                off = off or tag not in ("html", "body", "article", "main") and any(w in MARKS for w in words)
+                marked = marked or tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(words)
                 if name == "class":
                     label += "." + "-".join(words)
-    return off, label
+    return off, MARKED * marked + label
 
 
 class Page:
-    """Blocks [(node, in article, text)] of the parts that may be content, and the folded tree as a string."""
+    """Blocks [(node, text)] of the parts that aren't made for something else, and the tree [(label, parent)]."""
 
     def __init__(self, html: str) -> None:
-        self.tree: list[tuple[str, int]] = []  # label and parent of the folded nodes
-        self.blocks: list[tuple[int, bool, str]] = []
+        self.tree: list[tuple[str, int]] = []
+        self.blocks: list[tuple[int, str]] = []
         children: dict[tuple[int, str], int] = {}
-        last_child: dict[int, int] = {}
-        stack: list[tuple[str, int, bool, bool, bool]] = []  # tag, node, off, in article, heading of the page
+        stack: list[tuple[str, int, bool, bool]] = []  # tag, node, made for something else, in an article
         text: list[str] = []
-        where: tuple[int, bool] | None = None
+        where: int | None = None
 
         def flush() -> None:
             nonlocal where
             if text and where is not None:
                 joined = " ".join(" ".join(text).split()) if len(text) == 1 else " ".join("".join(text).split())
                 if joined:
-                    self.blocks.append((*where, joined))
+                    self.blocks.append((where, joined))
             text.clear()
             where = None
 
         def node_of(label: str) -> int:
             parent = stack[-1][1] if stack else -1
-            if len(stack) >= DEPTH:
-                return parent
-            last = last_child.get(parent)
-            if last is not None and self.tree[last][0] == label:
-                return last
-            key = (parent, label)
-            if key in children and len(self.tree) > 400:
-                return children[key]
-            self.tree.append((label, parent))
-            children[key] = last_child[parent] = len(self.tree) - 1
-            return len(self.tree) - 1
+            node = children.setdefault((parent, label), len(self.tree))
+            if node == len(self.tree):
+                self.tree.append((label, parent))
+            return node
 
         def data(raw: str) -> None:
             nonlocal where
@@ -116,7 +118,7 @@ class Page:
             if where is None:
                 if not raw.strip():
                     return
-                where = (stack[-1][1] if stack else -1, bool(stack) and stack[-1][3])
+                where = stack[-1][1] if stack else -1
             text.append(unescape(raw) if "&" in raw else raw)
 
         def close(down_to: int) -> None:
@@ -125,10 +127,12 @@ class Page:
             del stack[down_to:]
 
         at, n = 0, len(html)
+        last = html.rfind(">")
         while at < n:
-            m = _TOKEN.search(html, at)
+            m = _TOKEN.search(html, at) if at <= last else None
             if m is None:
-                data(html[at:])
+                cut = _CUT_OFF.search(html, max(at, last + 1))
+                data(html[at : cut.start()] if cut else html[at:])
                 break
             if m.start() > at:
                 data(html[at : m.start()])
@@ -177,7 +181,7 @@ class Page:
             inside = tag in ("article", "main") or bool(stack) and stack[-1][3]
             off = off or bool(stack) and stack[-1][2] or tag == "header" and not inside
             if not token.endswith("/>") or tag in BLOCKS:
-                stack.append((tag, node_of(label), off, inside and not off, False))
+                stack.append((tag, node_of(label), off, inside))
         flush()
 
     def skeleton(self) -> str:
@@ -219,13 +223,15 @@ def aligned(page: str, wrapper: str) -> tuple[int, ...]:
                 i, j = i - 1, j - 1
         return table[-1][-1], pairs
 
-    by_label: dict[str, list[int]] = {}
-    for k, (label, _) in enumerate(b):
-        by_label.setdefault(label, []).append(k)
-    for x in range(len(a) - 1, -1, -1):  # children come after their parents
-        for y in reversed(by_label.get(a[x][0], ())):
-            total, pairs = best(below_a[x], below_b[y])
-            size[x, y] = (total + 1, pairs)
+    same: list[tuple[int, int]] = []  # nodes that may be matched: their ancestors have the same labels
+    paths: dict[int, list[int]] = {-1: [-1]}
+    tops: dict[tuple[int, str], int] = {(p, label): k for k, (label, p) in enumerate(b)}
+    for x, (label, p) in enumerate(a):
+        paths[x] = [y for q in paths[p] if (y := tops.get((q, label))) is not None]
+        same += [(x, y) for y in paths[x]]
+    for x, y in reversed(same):  # children come after their parents
+        total, pairs = best([k for k in below_a[x] if paths[k]], below_b[y])
+        size[x, y] = (total + 1, pairs)
     out = [-1] * len(a)
     todo = best([k for k, (_, p) in enumerate(a) if p < 0], [k for k, (_, p) in enumerate(b) if p < 0])[1]
     while todo:
@@ -235,8 +241,69 @@ def aligned(page: str, wrapper: str) -> tuple[int, ...]:
     return tuple(out)
 
 
-#: Rows up to which a table of constant texts, or of the blocks they take out, is sent to every executor; a larger one is joined by a shuffle.
-SMALL_ROWS = 100_000
+def content(tree: list[tuple[str, int]], weight: list[float]) -> list[bool]:
+    """Per node of the tree whether its blocks are content; weight: of each node's own blocks."""
+    n = len(tree)
+    off, has_article = [False] * n, [False] * n
+
+    def masses() -> list[float]:
+        mass = [0.0 if off[k] else weight[k] for k in range(n)]
+        for k in range(n - 1, -1, -1):
+            parent = tree[k][1]
+            if parent >= 0:
+                mass[parent] += mass[k]
+        return mass
+
+    tag = [label.lstrip(MARKED).partition(".")[0] for label, _ in tree]
+    mass = masses()
+    total = sum(m for m, (_, parent) in zip(mass, tree, strict=True) if parent < 0)
+    inner = [False] * n
+    for k in range(n - 1, -1, -1):
+        if tree[k][1] >= 0:
+            inner[tree[k][1]] = True
+        has_article[k] |= tag[k] in ("article", "main") and mass[k] > 0
+        if has_article[k] and tree[k][1] >= 0:
+            has_article[tree[k][1]] = True
+    for k, (label, parent) in enumerate(tree):
+        least = MOST * total if inner[k] else total  # a single block is believed, a part of the page only if it's small
+        off[k] = parent >= 0 and off[parent] or label.startswith(MARKED) and not has_article[k] and mass[k] < least
+    mass = masses()
+    total = sum(m for m, (_, parent) in zip(mass, tree, strict=True) if parent < 0)
+    below: list[list[int]] = [[] for _ in range(n)]
+    in_article = [False] * n
+    tops = []
+    for k, (_, parent) in enumerate(tree):
+        if parent >= 0:
+            below[parent].append(k)
+            in_article[k] = in_article[parent]
+        if tag[k] in ("article", "main") and not off[k] and not in_article[k]:
+            in_article[k] = True
+            tops.append(k)
+    if tops and sum(mass[k] for k in tops) >= ARTICLES * total:
+        largest = max(mass[k] for k in tops)
+        roots = [k for k in tops if mass[k] >= BESIDE * largest]
+        within = [k for k in range(n) if tag[k] == "article" and not off[k] and in_article[k] and k not in tops and mass[k] >= MOST * largest]
+        if len(roots) == 1 and within:  # an article within main
+            roots = within[:1]
+    else:
+        roots = [k for k, (_, parent) in enumerate(tree) if parent < 0]
+        while len(roots) == 1:
+            held = [k for k in below[roots[0]] if below[k] and mass[k] >= MOST * mass[roots[0]]]
+            if not held or weight[roots[0]] > 0:
+                break
+            roots = held[:1]
+    kept = [False] * n
+    for k in roots:
+        kept[k] = True
+    for k, (_, parent) in enumerate(tree):
+        kept[k] = (kept[k] or parent >= 0 and kept[parent]) and not off[k]
+    return kept
+
+
+#: Bytes up to which a table about hosts, constant texts or blocks is sent to every executor; a larger one is joined by a shuffle.
+SMALL_BYTES = 8 << 20
+#: Parts in which a host's pages are joined with its wrapper where that is shuffled.
+PARTS = 64
 
 
 def _host(url: str | None) -> str:
@@ -253,82 +320,136 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """key, host, skeleton and of each block its node, whether it is in an article, and the hash of its text."""
+    """key, host (its hash), skeleton and of each block its node, the hash of its text and its length."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "html"):
             found = [Page(x or "") for x in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                part.column("key"), pa.array([_host(u) for u in part.column("url").to_pylist()], pa.string()), pa.array([p.skeleton() for p in found], pa.string()),
+                part.column("key"), pa.array([_hash(_host(u)) for u in part.column("url").to_pylist()], pa.int64()), pa.array([p.skeleton() for p in found], pa.string()),
                 pa.array([[b[0] for b in p.blocks] for p in found], pa.list_(pa.int32())),
-                pa.array([[b[1] for b in p.blocks] for p in found], pa.list_(pa.bool_())),
-                pa.array([[_hash(b[2]) for b in p.blocks] for p in found], pa.list_(pa.int64())),
-            ], ["key", "host", "skeleton", "nodes", "inside", "hashes"])
+                pa.array([[_hash(b[1]) for b in p.blocks] for p in found], pa.list_(pa.int64())),
+                pa.array([[len(b[1]) for b in p.blocks] for p in found], pa.list_(pa.int32())),
+            ], ["key", "host", "skeleton", "nodes", "hashes", "sizes"])
 
-    return shared.map_arrow(_keyed(pages).drop("page_id"), step, "key long, host string, skeleton string, nodes array<int>, inside array<boolean>, hashes array<long>")
+    return shared.map_arrow(_keyed(pages).drop("page_id"), step, "key long, host long, skeleton string, nodes array<int>, hashes array<long>, sizes array<int>")
 
 
 def _slots(rows: DataFrame) -> DataFrame:
-    """key, at, host, page, inside, text (hash of slot and text) of every block."""
+    """key, at, host, page, slot (-1: the wrapper lacks it), text (hash of slot and text), size of every block."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 to = aligned(r["skeleton"], r["wrapper"])
-                host = _hash(r["host"])
-                for at, (node, inside, h) in enumerate(zip(r["nodes"], r["inside"], r["hashes"], strict=True)):
+                for at, (node, h, size) in enumerate(zip(r["nodes"], r["hashes"], r["sizes"], strict=True)):
                     slot = to[node] if node >= 0 else -1
-                    out.append((r["key"], at, host, r["page"], inside, _hash(f"{slot} {h}")))
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "at", "host", "page", "inside", "text"])
+                    out.append((r["key"], at, r["host"], r["page"], slot, _hash(f"{slot} {h}"), size))
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "at", "host", "page", "slot", "text", "size"])
+
+    return shared.map_arrow(rows, step, "key long, at int, host long, page long, slot int, text long, size int")
+
 
-    return shared.map_arrow(rows, step, "key long, at int, host long, page long, inside boolean, text long")
+def _plans(wrappers: DataFrame, weights: DataFrame, sizes: DataFrame, least: int) -> DataFrame:
+    """host, wrapper and which of its slots are content (null: too few different pages to tell)."""
 
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for wrapper, slots, n in zip(*(batch.column(c).to_pylist() for c in ("wrapper", "slots", "n_pages")), strict=True):
+                tree, weight = _read(wrapper), {x["slot"]: x["weight"] for x in slots or ()}
+                kept.append(content(tree, [weight.get(k, 0.0) for k in range(len(tree))]) if (n or 0) >= least else None)
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("wrapper"), pa.array(kept, pa.list_(pa.bool_()))], ["host", "wrapper", "kept"])
 
-def _joinable(rows: DataFrame) -> DataFrame:
-    """A written table, to be broadcast if it is counted to be small."""
-    return F.broadcast(rows) if rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else rows
+    rows = wrappers.join(weights, "host", "left").join(sizes, "host", "left").select("host", "wrapper", "slots", "n_pages")
+    return shared.map_arrow(rows, step, "host long, wrapper string, kept array<boolean>")
 
 
-def extracted(pages: DataFrame, share: float = 0.6, least: int = 3, share_inside: float = 0.9, least_inside: int = 3) -> DataFrame:
+def chosen(tree: list[tuple[str, int]], nodes: list[int], sizes: list[int], constant: set[int], to: tuple[int, ...], kept: list[bool] | None) -> list[int]:
+    """Places of the blocks that aren't content; to and kept: the slots of the tree's nodes and whether they are content."""
+    vary = [at for at in range(len(nodes)) if at not in constant]
+    if kept is not None:
+        good = [False] * (len(tree) + 1)  # the last: blocks outside of all elements
+        for k, (_, parent) in enumerate(tree):
+            good[k] = kept[to[k]] if to[k] >= 0 else parent >= 0 and good[parent]
+        if any(good[nodes[at]] for at in vary):
+            return [at for at in range(len(nodes)) if at in constant or not good[nodes[at]]]
+    weight = [0.0] * len(tree)
+    for at in vary:
+        if nodes[at] >= 0:
+            weight[nodes[at]] += sizes[at]
+    good = [*content(tree, weight), not any(weight)]
+    return [at for at in range(len(nodes)) if at in constant or not good[nodes[at]]]
+
+
+def _dropped(rows: DataFrame) -> DataFrame:
+    """key and places of the blocks that aren't content, of pages (with wrapper, kept and constant) that have such."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, gone = [], []
+            for r in batch.to_pylist():
+                out = chosen(_read(r["skeleton"]), r["nodes"], r["sizes"], set(r["constant"] or ()), aligned(r["skeleton"], r["wrapper"]), r["kept"])
+                if out:
+                    keys.append(r["key"])
+                    gone.append(out)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], ["key", "gone"])
+
+    return shared.map_arrow(rows.select("key", "skeleton", "nodes", "sizes", "constant", "wrapper", "kept"), step, "key long, gone array<int>")
+
+
+def _hosted(rows: DataFrame, table: DataFrame, weight: Column) -> DataFrame:
+    """A join with a written table by host; broadcast if its bytes (by weight) are counted to be few, else a host's rows are dealt to PARTS."""
+    if _bytes(table, weight) <= SMALL_BYTES:
+        return rows.join(F.broadcast(table), "host")
+    parts = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return rows.withColumn("_part", F.pmod(F.xxhash64("key"), F.lit(PARTS)).cast("int")).join(parts, ["host", "_part"]).drop("_part")
+
+
+def _bytes(table: DataFrame, weight: Column) -> int:
+    return table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+
+
+def _joinable(table: DataFrame, weight: Column) -> DataFrame:
+    """A written table, to be broadcast if its bytes (by weight) are counted to be few."""
+    return F.broadcast(table) if _bytes(table, weight) <= SMALL_BYTES else table
+
+
+def extracted(pages: DataFrame, share: float = 0.6, least: int = 3) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    share and least: of the host's different pages, and so many, must have a text for it to be template; *_inside:
-    within an explicit article.
+    share and least: of the host's different pages, and so many, must have a text in a slot for it to be template.
     """
-    parsed = shared.materialize(_parsed(pages), "pages")
+    parsed = shared.materialize(_parsed(pages).withColumn("page", F.xxhash64("hashes")), "pages").where(F.size("nodes") > 0)
     trees = parsed.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
-    wrappers = trees.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"))
-    paged = parsed.withColumn("page", F.xxhash64("hashes"))
-    slots = shared.materialize(_slots(paged.where(F.size("nodes") > 0).join(wrappers, "host")), "slots")
-    sizes = paged.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    sizes = shared.map_arrow(sizes, _hashed_host, "host long, n_pages long")
-    cell = ["host", "text", "inside"]
-    fewest = F.when(F.col("inside"), least_inside).otherwise(least)
-    often = shared.materialize(slots.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= fewest).select(*cell), "often")
-    seen = slots.select(*cell, "page").join(_joinable(often), cell).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("on_pages"))
-    enough = F.greatest(F.when(F.col("inside"), share_inside).otherwise(share) * F.col("n_pages"), fewest)
-    constant = shared.materialize(seen.join(sizes, "host").where(F.col("on_pages") >= enough).select(*cell), "constant")
-    gone = slots.join(_joinable(constant), cell, "left_semi").groupBy("key").agg(F.collect_set("at").alias("gone"))
-    gone = shared.materialize(gone, "gone")
+    wrappers = shared.materialize(trees.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper")), "wrappers")
+    slots = shared.materialize(_slots(_hosted(parsed, wrappers, F.length("wrapper") + 16)), "slots")
+    sizes = parsed.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    cell = ["host", "text"]
+    often = shared.materialize(slots.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select(*cell), "often")
+    seen = slots.select(*cell, "page").join(_joinable(often, F.lit(24)), cell).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("on_pages"))
+    constant = seen.join(sizes, "host").where(F.col("on_pages") >= F.greatest(share * F.col("n_pages"), F.lit(least))).select(*cell)
+    constant = shared.materialize(constant, "constant")
+    vary = slots.where("slot >= 0").join(_joinable(constant, F.lit(24)), cell, "left_anti").groupBy(*cell, "slot").agg(F.max("size").alias("size"))
+    weights = vary.groupBy("host", "slot").agg(F.sum("size").cast("double").alias("weight")).groupBy("host").agg(F.collect_list(F.struct("slot", "weight")).alias("slots"))
+    plans = shared.materialize(_plans(wrappers, weights, sizes, least), "plans")
+    fixed = slots.join(_joinable(constant, F.lit(24)), cell, "left_semi").groupBy("key").agg(F.collect_set("at").alias("constant"))
+    fixed = shared.materialize(fixed, "fixed")
+    rows = _hosted(parsed, plans, F.length("wrapper") + F.size("kept") + 24).join(_joinable(fixed, 4 * F.size("constant") + 24), "key", "left")
+    gone = shared.materialize(_dropped(rows).dropDuplicates(["key"]), "gone")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.slices(batches, "html"):
             texts = [main_text(Page(x or ""), set(g or ())) for x, g in zip(part.column("html").to_pylist(), part.column("gone").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    rows = _keyed(pages).join(_joinable(gone), "key", "left").select("page_id", "url", "html", "gone")
+    rows = _keyed(pages).join(_joinable(gone, 4 * F.size("gone") + 24), "key", "left").select("page_id", "url", "html", "gone")
     return shared.map_arrow(rows, step, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
-def _hashed_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([_hash(x) for x in batch.column(0).to_pylist()], pa.int64()), batch.column(1)], ["host", "n_pages"])
-
-
 def main_text(page: Page, gone: set[int]) -> str:
-    """The blocks that aren't template; where the page has an explicit article, only those in it."""
-    article = any(inside for _, inside, _ in page.blocks)
-    return "\n".join(text for at, (_, inside, text) in enumerate(page.blocks) if at not in gone and (inside or not article))
+    """The blocks that are content, in page order."""
+    return "\n".join(text for at, (_, text) in enumerate(page.blocks) if at not in gone)
