@@ -2,8 +2,8 @@
 
 Writing: each task appends one gzip member per record to an archive of its own in the shared folder and returns the
 index rows (file, offset, length, url, digest); the index is a table, so a task that is run again leaves at most a file
-that no row names. Reading: the selected index rows are sorted by file and offset, neighbours are joined into one read
-while the gap between them is small, and each record is cut from that read.
+that no row names. Reading: the selected index rows are dealt by ranges of file and offset, as many as the archives' bytes
+ask for; neighbours are joined into one read while the gap between them is small, and each record is cut from that read.
 
 Of rows with equal payloads of at least MIN_REVISIT bytes, that with the smallest page_id is a response (each, if the
 row repeats); the others are revisit records without the payload. Null html counts as an empty payload; a null page_id
@@ -29,6 +29,8 @@ MIN_REVISIT = 100
 #: Read on over a gap of at most so many bytes, and at most so many bytes at once unless one record is longer.
 GAP_BYTES, READ_BYTES = 64 << 10, 4 << 20
 ROLL_BYTES = 1 << 30
+#: Archive bytes that a reading task gets about, as long as that makes no more than so many tasks.
+PART_BYTES, MOST_PARTS = 4 << 20, 50_000
 INDEX = "page_id long, url string, file string, offset long, length long, payload_digest string"
 
 
@@ -45,20 +47,19 @@ def classified(pages: DataFrame) -> DataFrame:
         "page_id", "url", "html", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"))
 
 
-def record(page_id: int | None, url: str | None, html: str | None, digest: str, kind: str, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record."""
+def record(page_id: int | None, url: str | None, html: str | None, digest: str, kind: str, refers_to: int | None, place: str = "") -> bytes:
+    """One WARC/1.1 record; place (its file and offset) makes its record id, so that rows that repeat have ids of their own."""
     payload = (html or "").encode()
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     body = head + payload if kind == "response" else head
-    name = lambda x: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{x}')}>"
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {name(page_id)}", "WARC-Date: 2024-01-01T00:00:00Z"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place}#{page_id}')}>", "WARC-Date: 2024-01-01T00:00:00Z"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~-._')}")
         lines.append(f"X-Url: {quote(url, safe='')}")
     if page_id is not None:
         lines.append(f"X-Page-Id: {page_id}")
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {name(refers_to)}", f"X-Refers-To-Page: {refers_to}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers_to}"]
     lines += [f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -79,7 +80,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     """Write the archives below folder (a URI that executors share); returns the index."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         out = file = None
         at = ROLL_BYTES
@@ -91,7 +92,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
                         out.close()
                     file, at = f"{root.rstrip('/')}/{uuid.uuid4().hex}.warc.gz", 0
                     out = store.open_output_stream(file, compression=None)
-                raw = gzip.compress(record(r["page_id"], r["url"], r["html"], r["payload_digest"], r["record_type"], r["refers_to"]), 4, mtime=0)
+                raw = gzip.compress(record(r["page_id"], r["url"], r["html"], r["payload_digest"], r["record_type"], r["refers_to"], f"{file}@{at}"), 4, mtime=0)
                 out.write(raw)
                 for to, value in zip(where, (file, at, len(raw)), strict=True):
                     to.append(value)
@@ -122,7 +123,7 @@ def read(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, _ = pafs.FileSystem.from_uri(folder)
         source, name = None, None
         for batch in batches:
             for run in ranges(batch.to_pylist()):
@@ -152,7 +153,9 @@ def read(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame
         if source:
             source.close()
 
-    wanted = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    n_bytes = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    parts = min(MOST_PARTS, max(1, -(-n_bytes // PART_BYTES)))
+    wanted = index.select("file", "offset", "length").repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
     return shared.map_arrow(wanted, step, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
