@@ -227,8 +227,9 @@ def classes(docs: DataFrame, width: int = 3, bits: int = 3) -> DataFrame:
     roots = components(links(distinct.select("fp"), bits))
     own = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = own.groupBy("root").agg(F.min("first").cast(kind).alias("component_id"))
-    found = own.join(least, "root").select("fp", "component_id")
-    return rows.join(found, "fp").select("doc_id", "fingerprint", "component_id")
+    found = shared.materialize(own.join(least, "root").select("fp", "component_id"), "found")
+    small = found.limit(SMALL_NODES + 1).count() <= SMALL_NODES  # then the rows of a common fingerprint stay where they are
+    return rows.join(F.broadcast(found) if small else found, "fp").select("doc_id", "fingerprint", "component_id")
 
 
 #: For whole corpora: least Jaccard similarity of the sets of five-word shingles; minima of a band and bands. Two texts at
