@@ -3,12 +3,16 @@
 A recording (mono, signed 16-bit samples) becomes frames of twelve pitch-class energies. The frames' integral image gives
 any rectangle's sum from four corners; FILTERS compare such rectangles over a window of frames, each comparison is
 quantised to two bits in Gray code, and the sixteen of them make one packed integer per place. To align two recordings,
-seeds (two equal integers one after the other) vote for an offset; the offset with most votes is verified by the bit
-errors over the whole overlap.
+seeds vote for offsets; at each offset with MIN_SEEDS votes, the longest stretch of integers with few enough bit errors is looked for,
+and the longest of all offsets counts.
+
+A seed is three integers over GAP places by their stable bits (of each filter whether it is above the middle threshold), so
+that it spans several notes, and melodies that share a few notes or a held one don't meet. Of a place where the integer is the same as before there is no seed but at the recording's ends: what is
+aligned changes at the same places. Joins by seed are split by Spark where a seed is common.
 
 Recordings with equal fingerprints are one class, searched once; a query gets a row per class that it aligns with, not
-per copy. Null or too short samples have no integers and match nothing (class by their own). Rows that repeat an id count
-once; a null id takes part in nothing.
+per copy. Null or too short samples have no integers and match nothing (class by their own). Of rows that repeat an id the
+one with the smallest fingerprint counts; a null id takes part in nothing.
 """
 
 from __future__ import annotations
@@ -31,8 +35,13 @@ THRESHOLDS = (-0.12, 0.0, 0.12)
 #: (kind, first pitch class, height, width) by rule: kinds are whole, halves by pitch, halves by time, quarters, thirds by pitch, thirds by time.
 FILTERS = [(k % 6, (5 * k) % 7, 3 + k % 4, 4 + (3 * k) % 9) for k in range(16)]
 GRAY = np.array([0, 1, 3, 2], np.uint32)
-#: A match: so many seeds at one offset, overlap in integers, share of bits that may differ.
-MIN_SEEDS, MIN_OVERLAP, MAX_ERRORS = 2, 16, 0.15
+#: A match: integers that it has at least (64 are two seconds; unrelated melodies have stretches of up to 49 in tests), share of
+#: their bits that may differ.
+MIN_OVERLAP, MAX_ERRORS = 64, 0.15
+#: Places from a seed's first integer to its last; seeds at one offset that a candidate has at least.
+GAP, MIN_SEEDS = 24, 2
+#: The high one of each filter's two bits: in Gray code it says on which side of the middle threshold the value is.
+STABLE = np.uint32(0xAAAAAAAA)
 
 
 @cache
@@ -128,57 +137,83 @@ def fingerprints(media: DataFrame, key: str = "vec_id", pcm: str = "pcm") -> Dat
     return shared.map_arrow(data, step, f"{key} {data.schema[key].dataType.simpleString()}, fp binary")
 
 
+def seeds(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds of a fingerprint (32-bit integers) and their places."""
+    if len(x) <= GAP:
+        return np.empty(0, np.int64), np.empty(0, np.int32)
+    stable = (x & STABLE).astype(np.uint64)
+    changes = np.r_[True, stable[1:-GAP] != stable[: -GAP - 1]] if len(x) > GAP + 1 else np.ones(1, bool)
+    changes[-1] = True
+    at = np.flatnonzero(changes)
+    keys = np.zeros(len(at), np.uint64)
+    for step in (0, GAP // 2, GAP):
+        own = stable[at + step] >> np.uint64(1)
+        for k in range(16):
+            keys = keys << np.uint64(1) | own >> np.uint64(2 * k) & np.uint64(1)
+    return keys.view(np.int64), at.astype(np.int32)
+
+
 def _seeds(rows: DataFrame, name: str) -> DataFrame:
-    """name, seed (two integers one after the other), at."""
+    """name, seed, at."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, seeds, places = [], [], []
-            for key, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(fp, "<u4").astype(np.uint64)
-                if len(x) < 2:
-                    continue
-                seeds.append((x[:-1] << np.uint64(32) | x[1:]).view(np.int64))
-                places.append(np.arange(len(x) - 1, dtype=np.int32))
-                ids.append(np.full(len(x) - 1, key))
-            many = [np.concatenate(x) if x else np.empty(0, k) for x, k in ((ids, np.int64), (seeds, np.int64), (places, np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in many], [name, "seed", "at"])
+            found = [seeds(np.frombuffer(fp, "<u4")) for fp in batch.column(1).to_pylist()]
+            ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x, _ in found])
+            many = [np.concatenate([x[k] for x in found]) if found else np.empty(0, t) for k, t in ((0, np.int64), (1, np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, *many)], [name, "seed", "at"])
 
     return shared.map_arrow(rows, step, f"{name} long, seed long, at int")
 
 
-def bit_errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, float]:
-    """Overlap and share of differing bits if place i of a is place i + offset of b."""
+def stretch(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int, float]:
+    """First place in a, length and share of differing bits of the longest stretch with at most MAX_ERRORS, if place i of a
+    is place i + offset of b; the first of equals."""
     low, high = max(0, -offset), min(len(a), len(b) - offset)
     if high <= low:
-        return 0, 1.0
-    return high - low, float(np.bitwise_count(a[low:high] ^ b[low + offset : high + offset]).mean()) / 32
+        return 0, 0, 1.0
+    errors = np.bitwise_count(a[low:high] ^ b[low + offset : high + offset]).astype(np.int64)
+    sums = np.r_[0, np.cumsum(100 * errors - round(3200 * MAX_ERRORS))]  # a stretch is good if its sum isn't above zero
+    least_after = np.minimum.accumulate(sums[::-1])[::-1]
+    ends = np.searchsorted(least_after, np.maximum.accumulate(sums), side="right") - 1
+    sizes = np.where(sums == np.maximum.accumulate(sums), ends - np.arange(len(sums)), 0)
+    begin = int(sizes.argmax())
+    size = int(sizes[begin])
+    return low + begin, size, float(errors[begin : begin + size].sum()) / (32 * size) if size else 1.0
+
+
+def best(a: np.ndarray, b: np.ndarray, offsets: list[int]) -> tuple[int, int, int, float]:
+    """Offset, first place, length and share of errors of the longest stretch; of equals that with the fewest errors, then the smallest offset."""
+    found = [(offset, *stretch(a, b, offset)) for offset in offsets]
+    return min(found, key=lambda x: (-x[2], x[3], abs(x[0]), x[0]))
 
 
 def searched(media: DataFrame, key: str = "vec_id", every: int = 50) -> DataFrame:
     """Rows of kind member (every recording with its class_id, the smallest id with the same fingerprint) and of kind
-    match: a query (id divisible by `every`) with the class of other recordings that it aligns with, offset, overlap, bit_errors."""
-    rows = shared.materialize(fingerprints(media.where(F.col(key).isNotNull()), key).dropDuplicates([key]).withColumnRenamed(key, "id").withColumn("id", F.col("id").cast("long")), "chroma")
-    print_of = F.xxhash64("fp")
-    classes = shared.materialize(rows.where(F.length("fp") > 0).groupBy(print_of.alias("h"), "fp").agg(F.min("id").alias("class_id")).select("class_id", "fp", "h"), "classes")
-    members = rows.join(classes.select("h", "class_id"), print_of == F.col("h"), "left").select(
-        "id", F.coalesce("class_id", "id").alias("class_id"), F.length("fp").alias("bytes"))
+    match: a query (id divisible by `every`) with the class of other recordings that it aligns with: offset, start (in the
+    query), overlap, bit_errors."""
+    rows = fingerprints(media.where(F.col(key).isNotNull()), key).select(F.col(key).cast("long").alias("id"), "fp").groupBy("id").agg(F.min("fp").alias("fp"))
+    rows = shared.materialize(rows, "chroma")
+    classes = shared.materialize(rows.where(F.length("fp") > 0).groupBy("fp").agg(F.min("id").alias("class_id")), "classes")
+    members = rows.join(classes, "fp", "left").select("id", F.coalesce("class_id", "id").alias("class_id"), F.length("fp").alias("bytes"))
     members = shared.materialize(members, "members")
     queries = members.where((F.col("id") % every == 0) & (F.col("bytes") > 0))
-    asked = queries.select("class_id").distinct().join(classes, "class_id").select(F.col("class_id").alias("q"), "fp")
+    asked = shared.materialize(queries.select("class_id").distinct().join(classes, "class_id").select(F.col("class_id").alias("q"), "fp"), "asked")
     left, right = _seeds(asked, "q").withColumnRenamed("at", "q_at"), _seeds(classes.select("class_id", "fp"), "c")
     votes = left.join(right, "seed").where("q <> c").groupBy("q", "c", (F.col("at") - F.col("q_at")).alias("offset")).agg(F.count(F.lit(1)).alias("seeds"))
-    best = votes.where(F.col("seeds") >= MIN_SEEDS).groupBy("q", "c").agg(F.max_by("offset", F.struct("seeds", -F.abs("offset"), "offset")).alias("offset"))
-    both = best.join(asked.select("q", F.col("fp").alias("x")), "q").join(classes.select(F.col("class_id").alias("c"), F.col("fp").alias("y")), "c")
+    offsets = votes.where(F.col("seeds") >= MIN_SEEDS).groupBy("q", "c").agg(F.collect_list("offset").alias("offsets"))
+    both = offsets.join(asked.select("q", F.col("fp").alias("x")), "q").join(classes.select(F.col("class_id").alias("c"), F.col("fp").alias("y")), "c")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [bit_errors(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), o) for x, y, o in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "offset")), strict=True)]
-            good = pa.array([n >= MIN_OVERLAP and e <= MAX_ERRORS for n, e in found], pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column("q"), batch.column("c"), batch.column("offset"), pa.array([n for n, _ in found], pa.int32()), pa.array([e for _, e in found], pa.float64())], ["q", "c", "offset", "overlap", "bit_errors"])
-            yield out.filter(good)
-
-    matches = shared.map_arrow(both.select("q", "c", "offset", "x", "y"), verify, "q long, c long, offset int, overlap int, bit_errors double")
-    of_queries = queries.select("id", F.col("class_id").alias("q")).join(matches, "q").select(F.lit("match").alias("kind"), "id", F.col("c").alias("class_id"), "offset", "overlap", "bit_errors")
-    own = members.select(F.lit("member").alias("kind"), "id", "class_id", F.lit(None).cast("int").alias("offset"), F.lit(None).cast("int").alias("overlap"), F.lit(None).cast("double").alias("bit_errors"))
+            found = [best(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), o) for x, y, o in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "offsets")), strict=True)]
+            columns = list(zip(*found, strict=True)) or [()] * 4
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64())
+            out = pa.RecordBatch.from_arrays([batch.column("q"), batch.column("c"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["q", "c", "offset", "start", "overlap", "bit_errors"])
+            yield out.filter(pa.array([x[2] >= MIN_OVERLAP for x in found], pa.bool_()))
+
+    matches = shared.map_arrow(both.select("q", "c", "offsets", "x", "y"), verify, "q long, c long, offset int, start int, overlap int, bit_errors double")
+    of_queries = queries.select("id", F.col("class_id").alias("q")).join(matches, "q").select(F.lit("match").alias("kind"), "id", F.col("c").alias("class_id"), "offset", "start", "overlap", "bit_errors")
+    none = F.lit(None).cast("int")
+    own = members.select(F.lit("member").alias("kind"), "id", "class_id", none.alias("offset"), none.alias("start"), none.alias("overlap"), F.lit(None).cast("double").alias("bit_errors"))
     return own.union(of_queries).withColumnRenamed("id", key)
