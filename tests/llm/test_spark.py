@@ -35,13 +35,28 @@ ALL = {
 
 @pytest.mark.parametrize("name", ALL)
 def test_odd_and_empty_tables(spark, name):
-    d = docs(spark, ODD).withColumns({"key": F.lit(1), "fp": F.lit("x"), "slot": F.lit(2), "_row": F.lit(0)})
+    d = docs(spark, ODD).withColumns({"key": F.lit(1), "fp": F.lit("x"), "slot": F.lit(2), "_row": F.lit(0), "hash": F.lit(5), "doc": F.lit("y"), "_spans0": F.lit(3)})
     got = ALL[name](d).collect()
     if name not in ("kept", "near", "substrings", "without", "packing"):
         assert len(got) == len(ODD)
     assert ALL[name](docs(spark, [])).collect() == []
 
 
+PAGES = "page_id long, url string, html string"
+
+
+def test_odd_and_empty_pages_and_vectors(spark):
+    rows = [(1, None, None), (1, "http://a/", ""), (None, "http://a/", "<p>x<a href="), (2, "odd", "<div>" * 500 + "y"), (2, "odd", "<div>" * 500 + "y")]
+    pages = spark.createDataFrame(rows, PAGES).withColumns({"key": F.lit(1), "host": F.lit("h"), "page": F.lit(2), "_part": F.lit(3), "gone": F.lit(0), "file": F.lit("f")})
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_extract.extracted(pages).collect()) == [(0, "x", 1), (1, "", 0), (1, "", 0), (2, "y", 1), (2, "y", 1)]
+    assert warc.round_trip(pages).count() == len(rows)
+    vectors = spark.createDataFrame([(50, [0.5] * 64), (50, [0.5] * 64), (7, None), (None, [1.0]), (8, [])], "vec_id long, embedding array<float>").withColumns({"id": F.lit(1), "seed": F.lit(2), "class_id": F.lit(3)})
+    members = [r["vec_id"] for r in audio.searched(audio.rendered(vectors)).collect() if r["kind"] == "member"]
+    assert sorted(members) == [7, 8, 50]
+    assert html_extract.extracted(pages.limit(0)).collect() == [] and audio.searched(audio.rendered(vectors.limit(0))).collect() == []
+
+
+
 def test_simhash_against_brute_force(spark):
     base = words(60)
     rows = [(k, " ".join(base)) for k in (9, 4)] + [(10 + k, " ".join([*base[: k % 60], "X", *base[k % 60 + 1 :]])) for k in range(40)] + [(80, None), (81, ""), (82, "A b"), (83, "a  B")]
@@ -116,6 +131,26 @@ def test_substrings_find_shared_passages(spark):
     assert len(left) == len(rows) and len(left[7]["text"].split()) <= 206 and left[7]["n_chars"] == len(left[7]["text"]) and left[0]["text"] == rows[0][1]
 
 
+def test_rows_that_repeat_an_id_lose_what_their_own_text_repeats(spark):
+    p, clean, tail = words(80, 60), words(90, 61), words(20, 62)
+    rows = [(1, " ".join(p)), (2, " ".join(clean)), (2, " ".join([*p, *tail]))]
+    d = docs(spark, rows).withColumns({"_spans0": F.lit(1), "_hash0": F.lit(2)})
+    left = sorted(len(r["text"].split()) for r in substrings.without_repeats(d).collect())
+    assert left == [20, 80, 90]
+
+
+def test_near_passages_are_found(spark):
+    """Passages of 60 words of which one is changed: 51 of 61 different shingles are common."""
+    r, rows = np.random.default_rng(30), []
+    for k in range(120):
+        p = words(60, 3000 + k)
+        at = int(r.integers(5, 55))
+        q = [*p[:at], f"z{at}", *p[at + 1 :]]
+        rows += [(2 * k, " ".join([*words(60, 4000 + k), *p, *words(50, 5000 + k)])), (2 * k + 1, " ".join([*words(50, 6000 + k), *q, *words(60, 7000 + k)]))]
+    found = {x["doc_id"] for x in substrings.repeats(docs(spark, rows)).collect()}
+    assert not any(i % 2 == 0 for i in found) and len(found) >= 0.9 * 120
+
+
 def test_copies_lose_their_text(spark):
     t = " ".join(words(80))
     left = substrings.without_repeats(docs(spark, [(2, t), (1, t), (9, t.upper())])).collect()
@@ -157,6 +192,21 @@ def test_sharding_is_even_and_gapless(spark):
     assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in got} == {(i, len(t or "") + 8, zlib.crc32((t or "").encode())) for i, t in rows}
 
 
+def test_slot_map_is_kept_and_edited(spark, tmp_path):
+    folder = f"file://{tmp_path}/map"
+    rows = [(k, "x" * (k * 7919 % 900)) for k in range(2000)]
+    first = {r["doc_id"]: r["shard"] for r in sharding.sharded(docs(spark, rows), folder=folder).collect()}
+    assert sharding.versions(spark, folder) == [0]
+    assert {r["doc_id"]: r["shard"] for r in sharding.sharded(docs(spark, rows), folder=folder).collect()} == first and sharding.versions(spark, folder) == [0]
+    more = [*rows, *((10000 + k, "y" * 4000) for k in range(40))]
+    then = {r["doc_id"]: r for r in sharding.sharded(docs(spark, more), folder=folder).collect()}
+    assert sharding.versions(spark, folder) == [0, 1] and {r["map_version"] for r in then.values()} == {1}
+    assert sum(first[k] != then[k]["shard"] for k in first) < 400
+    wide = {r["doc_id"]: r["shard"] for r in sharding.sharded(docs(spark, more), shards=25, folder=folder).collect()}
+    assert sum(then[k]["shard"] != wide[k] for k in then) < 400 and set(wide.values()) == set(range(25))
+    assert {r["shard"] for r in sharding.read_map(spark, folder, 0).collect()} == set(range(24))
+
+
 def test_warc_round_trip(spark):
     long = "<p>é</p>" * 20
     rows = [(3, "http://a/1", long), (1, "http://a/2", long), (1, "http://a/2", long), (2, None, long), (None, "u", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "http://é/ %", "x" * 300)]
@@ -198,22 +248,34 @@ def test_audio_search(spark):
     assert [(r["vec_id"], r["class_id"]) for r in got if r["kind"] == "match"] == [(50, 8)]
 
 
+def test_audio_recall_against_brute_force(spark):
+    """Queries with noise against all recordings and all offsets."""
+    r = np.random.default_rng(21)
+    tone = [(np.sin(2 * np.pi * 110 * 2 ** (k / 12) * np.arange(320) / audio.RATE) * 9000) for k in range(24)]
+    pcm = lambda notes, noise: (np.concatenate([tone[k] for k in notes]) + r.normal(0, noise, 320 * len(notes))).astype("<i2").tobytes()
+    tunes = [r.integers(0, 24, 40).tolist() for _ in range(30)]
+    rows = [(k + 1, pcm(t, 0)) for k, t in enumerate(tunes)]
+    for k, t in enumerate(tunes):
+        at = int(r.integers(0, 15))
+        rows.append((50 * (k + 1), pcm([*r.integers(0, 24, 6).tolist(), *t[at : at + 18], *r.integers(0, 24, 5).tolist()], 400)))
+    got = {(r["vec_id"], r["class_id"]): r for r in audio.searched(spark.createDataFrame(rows, "vec_id long, pcm binary")).collect() if r["kind"] == "match"}
+    fps = {i: audio.packed(audio.chroma(np.frombuffer(x, "<i2"))) for i, x in rows}
+    want = {(q, c) for q in fps if q % 50 == 0 for c in fps if c != q and audio.best(fps[q], fps[c], list(range(-len(fps[q]), len(fps[c]))))[2] >= audio.MIN_OVERLAP}
+    assert set(got) <= want and len(want) >= 30 and len(set(got) & want) >= 0.9 * len(want)
+
+
 def test_pipeline_against_brute_force(spark):
     """Stage by stage on its own input: what must go goes, what is clean stays."""
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "near_dedup", "substring_dedup", "packing"]
-    tool = fertility.fertility()
     good = corpus_pipeline.quality_rules(spark, d, "")
     assert good.columns == d.columns
-
-    def passes(r):
-        w = (r["text"] or "").encode().split()
-        m = fertility.measures(r["text"], w, tool.words(set(w)), tool.is_byte)
-        return not m["base_failed"] and fertility.within_bands(m, r["text"] or "", r["lang"])
-
+    rows = d.collect()
+    m = fertility.measured([r["text"] for r in rows])
+    verdicts = fertility.verdicts(m, [r["text"] for r in rows], [r["lang"] for r in rows])
     kept = {r["doc_id"]: r for r in good.collect()}
-    assert set(kept) == {r["doc_id"] for r in d.collect() if passes(r)}
+    assert set(kept) == {r["doc_id"] for r, good in zip(rows, verdicts, strict=True) if good}
     sets = {i: set(simhash.shingle_hashes(r["text"], 5).tolist()) for i, r in kept.items()}
     unique = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, good, "").collect()}
     for i in kept:
