@@ -20,7 +20,7 @@ _LOCAL: dict[str, str] = {}
 #: Per operator how to free the tools that a worker process keeps.
 OWNED: dict[str, Callable[[], None]] = {}
 #: Bytes of one Arrow batch sent to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:

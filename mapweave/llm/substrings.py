@@ -26,8 +26,6 @@ that repeat a doc_id with the same words one counts; those with other words are
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -58,18 +56,26 @@ _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
-@cache
+#: The longest powers made so far, up to KEPT of them; longer ones are made for one use.
+_MADE: list[tuple[np.ndarray, np.ndarray]] = []
+KEPT = 1 << 21
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the factor and of its inverse, modulo 2^64."""
+    """The first n powers, or more, of the factor and of its inverse, modulo 2^64."""
+    if _MADE and len(_MADE[0][0]) >= n:
+        return _MADE[0]
     out = []
     for base in (_FACTOR, _INVERSE):
         x = np.full(n, base, np.uint64)
         x[0] = 1
         out.append(np.multiply.accumulate(x))
+    if n <= KEPT:
+        _MADE[:] = [(out[0], out[1])]
     return out[0], out[1]
 
 
-shared.OWNED["substrings"] = _powers.cache_clear
+shared.OWNED["substrings"] = _MADE.clear
 
 
 def hashed_shingles(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -523,8 +529,8 @@ def _divided(rows: DataFrame, leaders: DataFrame, named: DataFrame, width: int,
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
                 x, y = ([np.frombuffer(z, np.uint64) for z in batch.column(c).to_pylist()] for c in ("x", "y"))
                 keys, of, first, last = divided(batch.column("key").to_numpy(), x, y, width, pairs)
                 doc, hashes, span = (batch.column(c).to_numpy()[of] for c in ("b", "b_hash", "b_span"))
