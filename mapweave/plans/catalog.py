@@ -399,7 +399,7 @@ c AS (SELECT *, CASE WHEN o = 1 AND t = 1 THEN 'agreement' WHEN o = 1 AND is_cov
 @query(f"""WITH {_COMPARED} SELECT fw_a, fw_b, sum(o)::BIGINT AS ours, sum(t)::BIGINT AS scf, count(*) FILTER (t = 1 AND is_known) AS scf_known, count(*) FILTER (class = 'agreement') AS agreement,
     count(*) FILTER (class = 'ours_only') AS ours_only, count(*) FILTER (class = 'scf_only') AS scf_only FROM c GROUP BY 1, 2""")
 def crosscheck_summary(spark, d):
-    return evaluate.summary(_compared(spark, d))
+    return crosscheck.summary(spark, d) if crosscheck.plain(spark, d) else evaluate.summary(_compared(spark, d))
 
 
 @query(f"WITH {_COMPARED}, e AS (SELECT fw_a, fw_b, class, ref_a || ' ' || ref_b AS text, row_number() OVER (PARTITION BY fw_a, fw_b, class ORDER BY ref_a || ' ' || ref_b) AS rank FROM c WHERE class <> 'outside') SELECT fw_a, fw_b, class, rank::INT AS rank, text FROM e WHERE rank <= 8")
