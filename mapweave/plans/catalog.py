@@ -404,7 +404,7 @@ def crosscheck_summary(spark, d):
 
 @query(f"WITH {_COMPARED}, e AS (SELECT fw_a, fw_b, class, ref_a || ' ' || ref_b AS text, row_number() OVER (PARTITION BY fw_a, fw_b, class ORDER BY ref_a || ' ' || ref_b) AS rank FROM c WHERE class <> 'outside') SELECT fw_a, fw_b, class, rank::INT AS rank, text FROM e WHERE rank <= 8")
 def crosscheck_examples(spark, d):
-    return evaluate.examples(_compared(spark, d))
+    return crosscheck.examples(spark, d) if crosscheck.plain(spark, d) else evaluate.examples(_compared(spark, d))
 
 
 @query(f"""WITH {X.COMAP}, {X.PART_PAIRS}, o AS (SELECT DISTINCT fw_a, regexp_replace(ref_a[1:-2] || '.' || ref_a[-1:], '\\.[^.]*$', '') AS ref_a, fw_b, ref_b FROM ours),
