@@ -122,21 +122,25 @@ def split_words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.n
 
 
 def distinct_words(raw: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of different words among these, and for each word its place among those; words of up to 16 bytes are told apart
-    by these bytes, a longer one is a word of its own."""
+    """Places of different words among these, and for each word its place among those. Words of up to 16 bytes are told apart by
+    these bytes, longer ones by a number of each; if two of them have the same hash, all are sorted by these instead."""
     padded = np.frombuffer(raw + bytes(16), np.uint8)
     eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
     sizes = ends - begins
     low = eight[begins] & _MASKS[np.minimum(sizes, 8)]
     high = np.where(sizes > 8, eight[np.minimum(begins + 8, len(raw))] & _MASKS[np.clip(sizes - 8, 0, 8)], np.uint64(0))
+    long = np.flatnonzero(sizes > 16)
+    if len(long):
+        seen: dict[bytes, int] = {}
+        low[long] = [seen.setdefault(raw[b:e], len(seen)) for b, e in zip(begins[long].tolist(), ends[long].tolist(), strict=True)]
+        high[long] = 0
     mixed = (low ^ low >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) ^ (high + sizes.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(29)
-    mixed[sizes > 16] = np.arange(np.count_nonzero(sizes > 16), dtype=np.uint64)
     _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
     of = first[which]
-    if not ((low == low[of]) & (high == high[of]) & (sizes == sizes[of]) & ((sizes <= 16) | (of == np.arange(len(of))))).all():
-        return np.arange(len(sizes)), np.arange(len(sizes))
-    return first, which
+    if not ((low == low[of]) & (high == high[of]) & (sizes == sizes[of])).all():
+        _, first, which = np.unique(np.stack([low, high, sizes.astype(np.uint64)]), axis=1, return_index=True, return_inverse=True)
+    return first, which.ravel()
 
 
 def rows_of(values: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from mapweave.llm import audio, bpe, fertility, html_extract, licenses, packing, sharding, simhash, substrings, warc
+from mapweave.llm import audio, bpe, fertility, html_extract, licenses, packing, shared, sharding, simhash, substrings, warc
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -357,3 +357,19 @@ def test_audio_alignment():
     assert audio.stretch(a, b, 20)[1] >= len(a) - 2 and audio.best(a, b, list(range(-60, 60)))[0] == 20
     assert max(audio.stretch(a, c, k)[1] for k in range(-30, 30)) < audio.MIN_OVERLAP
     assert len(audio.packed(audio.chroma(np.empty(0)))) == 0
+
+
+@pytest.mark.parametrize("same_hash", [False, True])
+def test_repeated_long_words_are_found(monkeypatch, same_hash):
+    """Words of over 16 bytes are the same word wherever they come, and so are all if hashes collide."""
+    if same_hash:
+        unique = np.unique
+        monkeypatch.setattr(shared.np, "unique", lambda x, axis=None, **k: unique(x, axis=axis, **k) if axis is not None else unique(x % np.uint64(3), **k))
+    texts = [b"donaudampfschifffahrt x " * 40, b"aaaaaaaaaaaaaaaab aaaaaaaaaaaaaaaac aaaaaaaaaaaaaaaa a donaudampfschifffahrt " * 2, b"", " ".join(f"w{k}" for k in range(60)).encode()]
+    raw, begins, ends, counts = shared.split_words(texts)
+    first, which = shared.distinct_words(raw, begins, ends)
+    own = b" ".join(texts).split()
+    assert [raw[begins[k] : ends[k]] for k in first[which]] == own and len(first) == len(set(own))
+    monkeypatch.undo()
+    m = fertility.measured([t.decode() for t in texts])
+    assert m["n_repeat_words"].tolist() == [80, 10, 0, 0] and m["base_failed"].tolist() == [True, True, True, False]
