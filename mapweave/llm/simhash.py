@@ -14,6 +14,7 @@ are in one component. A null doc_id is never the smallest; a component of null d
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -232,9 +233,13 @@ def classes(docs: DataFrame, width: int = 3, bits: int = 3) -> DataFrame:
     return rows.join(F.broadcast(found) if small else found, "fp").select("doc_id", "fingerprint", "component_id")
 
 
-#: For whole corpora: least Jaccard similarity of the sets of five-word shingles; minima of a band and bands. Two texts at
-#: similarity s share a band with probability 1 - (1 - s^ROWS)^BANDS: 99.8 % at 0.8.
-SIMILARITY, ROWS, BANDS = 0.8, 5, 16
+#: For whole corpora: least Jaccard similarity of the sets of five-word shingles, and 64-bit words of their fingerprints.
+SIMILARITY, LANES = 0.8, 8
+#: Bits of a key and keys: each takes other bits of the fingerprint. Two sets at similarity s differ in a bit with probability
+#: p = arccos(2s / (1 + s)) / pi and share a key with probability 1 - (1 - (1 - p)^BITS)^KEYS or a little less: 98 % at 0.8.
+BITS, KEYS = 24, 256
+#: Differing bits, as a share, up to which the sets of a pair are compared: at the similarity 15 % differ, 19 % if the sets are tiny.
+FAR = 0.27
 #: Nodes of a key up to which all pairs are verified at once; with more each is compared with the smallest first.
 FEW = 8
 #: Nodes of each side of a cell in which what the smallest left apart is compared.
@@ -243,10 +248,6 @@ BLOCK = 512
 SMALL_NODES = 200_000
 
 
-def _odd(n: int) -> np.ndarray:
-    return mixed(np.arange(1, n + 1, dtype=np.uint64), 3) | np.uint64(1)
-
-
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(shingle_hashes(text, width))
 
@@ -255,29 +256,72 @@ def set_id(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
 
 
-def band_keys(own: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
-    """A key for each band of minima of the set under as many multipliers; none for an empty set."""
-    if not len(own):
-        return np.empty(0, np.int64)
-    least = np.array([(own * f).min() for f in _odd(rows * bands)]).reshape(bands, rows)
-    keys = np.arange(bands, dtype=np.uint64)
-    for k in range(rows):
-        keys = mixed(keys ^ least[:, k], 4)
-    return keys.view(np.int64)
+def set_fingerprint(own: np.ndarray, lanes: int = LANES) -> bytes:
+    """fingerprint() of all lanes at once."""
+    ones = np.zeros(64 * lanes, np.int64)
+    for at in range(0, len(own), 4096):
+        part = np.stack([mixed(own[at : at + 4096], k) for k in range(lanes)], axis=1).astype(">u8").view(np.uint8)
+        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(own)).tobytes()
+
+
+@cache
+def _places(bits: int, n: int, width: int) -> np.ndarray:
+    """(n, bits): which of the fingerprint's bits each key takes, the same in every process."""
+    order = mixed(np.arange(n * width, dtype=np.uint64), 5).reshape(n, width)
+    return np.argsort(order, axis=1)[:, :bits]
+
+
+def sampled_keys(fps: list[bytes], bits: int = BITS, n: int = KEYS) -> np.ndarray:
+    """(fingerprints, n): the key's number above its bits."""
+    all_bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1)
+    taken = np.packbits(all_bits[:, _places(bits, n, all_bits.shape[1])], axis=2)
+    keys = np.broadcast_to(np.arange(n, dtype=np.int64), taken.shape[:2])
+    for k in range(taken.shape[2]):
+        keys = keys << 8 | taken[:, :, k]
+    return keys
 
 
 def _noded(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node (id of the set of shingles) and keys of its bands, of every whole text."""
+    """doc_id, node (id of the set of shingles) and fp (fingerprint of the set; null: an empty one), of every whole text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared.TwoGenerations.only("simhash")
         for part in shared.slices(batches, "text"):
             sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
-            columns = [part.column("doc_id"), pa.array([set_id(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "keys"])
+            columns = [part.column("doc_id"), pa.array([set_id(x) for x in sets], pa.int64()), pa.array([set_fingerprint(x) if len(x) else None for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp"])
 
     rows = docs.select("doc_id", "text")
-    return shared.map_arrow(rows, step, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, keys array<long>")
+    return shared.map_arrow(rows, step, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, fp binary")
+
+
+def _sampled(distinct: DataFrame) -> DataFrame:
+    """key, node: the keys of every node's fingerprint."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                node, fp = whole.slice(at, 256).columns
+                keys = sampled_keys(fp.to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node.to_numpy(), keys.shape[1]))], ["key", "node"])
+
+    return shared.map_arrow(distinct.where("fp IS NOT NULL").select("node", "fp"), step, "key long, node long")
+
+
+def _near(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) those whose fingerprints differ in few bits, so that their sets are worth reading."""
+    fps = distinct.select("node", "fp")
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in "xy")
+            yield batch.select(["a", "b"]).filter(pa.array(_linked(x, y, int(FAR * 64 * x.shape[1]))))
+
+    rows = pairs.join(fps.toDF("a", "x"), "a").join(fps.toDF("b", "y"), "b")
+    return shared.map_arrow(rows.select("a", "b", "x", "y"), step, "a long, b long")
 
 
 def _met_nodes(index: DataFrame, few: int) -> DataFrame:
@@ -403,19 +447,20 @@ def _cells(rows: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY, few: int = FEW, block: int = BLOCK) -> DataFrame:
     """doc_id and component_id of the documents whose component has a smaller doc_id; without null doc_ids.
 
-    Two documents are linked if the Jaccard similarity of their sets of shingles, counted exactly, is at least that.
+    Candidates are sets whose SimHash fingerprints agree in all bits of a key; two documents are linked if the Jaccard
+    similarity of their sets of shingles, counted exactly, is at least that.
     """
     known = docs.where(F.col("doc_id").isNotNull())
     rows = shared.materialize(_noded(known, width), "nodes")
-    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "distinct")
-    met = shared.materialize(_met_nodes(distinct.select("node", F.explode("keys").alias("key")).select("key", "node"), few), "met")
-    pairs = shared.materialize(met.where("key IS NULL").select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp")), "distinct")
+    met = shared.materialize(_met_nodes(_sampled(distinct), few), "met")
+    pairs = shared.materialize(_near(met.where("key IS NULL").select("a", "b").distinct(), distinct), "pairs")
+    crowds = met.where("key IS NOT NULL").select("key", F.col("a").alias("node"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowds.select("node")).distinct()
     wanted = shared.materialize(distinct.join(wanted, "node").select(F.col("first").alias("doc_id"), "node"), "wanted")
     sets = shared.materialize(_sets(known, wanted, width), "sets")
     links = shared.materialize(_alike(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b"), similarity), "alike")
     roots = components(links)
-    crowds = met.where("key IS NOT NULL").select("key", F.col("a").alias("node"))
     if crowds.take(1):
         roots = components(links.union(_cells(crowds, roots, sets, similarity, block)))
     own = distinct.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))

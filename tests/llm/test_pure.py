@@ -373,3 +373,20 @@ def test_repeated_long_words_are_found(monkeypatch, same_hash):
     monkeypatch.undo()
     m = fertility.measured([t.decode() for t in texts])
     assert m["n_repeat_words"].tolist() == [80, 10, 0, 0] and m["base_failed"].tolist() == [True, True, True, False]
+
+
+def test_near_duplicates_meet_by_their_fingerprints():
+    """Keys hold bits of the SimHash fingerprint of the set, and of pairs at a similarity of 0.8 at least 95 % share one."""
+    rng = np.random.default_rng(4)
+    met = 0
+    for k in range(200):
+        h = rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2) + np.uint64(k % 2)
+        x, y = np.sort(h[:180]), np.sort(h[20:])
+        fps = [simhash.set_fingerprint(z) for z in (x, y)]
+        assert fps[0] == simhash.fingerprint(x, simhash.LANES)
+        keys = simhash.sampled_keys(fps)
+        met += bool((keys[0] == keys[1]).any())
+        places = simhash._places(simhash.BITS, simhash.KEYS, 64 * simhash.LANES)
+        bits = np.unpackbits(np.frombuffer(fps[0], np.uint8))
+        assert [f"{v & (1 << simhash.BITS) - 1:0{simhash.BITS}b}" for v in keys[0, :3].tolist()] == ["".join(map(str, bits[p])) for p in places[:3]]
+    assert simhash.jaccard(x, y) == 0.8 and met >= 190
