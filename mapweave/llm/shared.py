@@ -19,6 +19,8 @@ _WRITTEN: dict[str, SparkSession] = {}
 _LOCAL: dict[str, str] = {}
 #: Per operator how to free the tools that a worker process keeps.
 OWNED: dict[str, Callable[[], None]] = {}
+#: Modules whose steps need no tools of others.
+WITHOUT_TOOLS = ("substrings", "simhash", "components")
 #: Bytes of one Arrow batch sent to a Python worker.
 BATCH_BYTES = 4 << 20
 
@@ -99,9 +101,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 <<
 
 
 def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with batches bounded in bytes, so that long texts don't add up."""
+    """mapInArrow with batches bounded in bytes, so that long texts don't add up. A worker that waits for its next task holds no
+    freed memory, and where no tools are needed none of other operators."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(step, schema)
+    owner = step.__module__.rpartition(".")[2]
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if owner in WITHOUT_TOOLS:
+            TwoGenerations.only(owner)
+        yield from step(batches)
+        trim()
+
+    return df.mapInArrow(whole, schema)
+
+
+def trim() -> None:
+    """Give the system back what Arrow and the C library keep of freed memory."""
+    with contextlib.suppress(Exception):
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 _BLANK = bytes(c in b" \t\n\v\f\r" for c in range(256))
@@ -167,8 +185,7 @@ class TwoGenerations:
             if name != owner:
                 clear()
         gc.collect()
-        with contextlib.suppress(Exception):
-            ctypes.CDLL(None).malloc_trim(0)
+        trim()
 
     def turn(self) -> None:
         if len(self.young) >= self.limit:

@@ -390,3 +390,24 @@ def test_near_duplicates_meet_by_their_fingerprints():
         bits = np.unpackbits(np.frombuffer(fps[0], np.uint8))
         assert [f"{v & (1 << simhash.BITS) - 1:0{simhash.BITS}b}" for v in keys[0, :3].tolist()] == ["".join(map(str, bits[p])) for p in places[:3]]
     assert simhash.jaccard(x, y) == 0.8 and met >= 190
+
+
+def test_a_worker_frees_what_its_task_does_not_need(monkeypatch):
+    """A task of the passages frees the vocabularies before it begins, and all trim when they end."""
+    seen = []
+    monkeypatch.setitem(shared.OWNED, "fertility", lambda: seen.append("freed"))
+    monkeypatch.setattr(shared, "trim", lambda: seen.append("trimmed"))
+
+    class Rows:
+        sparkSession = type("Session", (), {"conf": type("Conf", (), {"set": staticmethod(lambda *_: None)})})
+        mapInArrow = staticmethod(lambda step, schema: step)
+
+    shared.TwoGenerations._last = "fertility"
+
+    def step(batches):
+        seen.append("begun")
+        yield from batches
+
+    step.__module__ = "mapweave.llm.substrings"
+    assert list(shared.map_arrow(Rows, step, "x long")([1, 2])) == [1, 2]
+    assert seen == ["freed", "trimmed", "begun", "trimmed"]
