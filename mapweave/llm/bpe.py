@@ -386,8 +386,10 @@ class Encoder:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One per worker process."""
-    return Encoder(path)
+    """One per worker process; what was only needed to make it is given back."""
+    out = Encoder(path)
+    shared.trim()
+    return out
 
 
 shared.OWNED["bpe"] = encoder.cache_clear

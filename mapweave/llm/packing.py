@@ -25,6 +25,8 @@ from . import bpe, shared
 CAPACITY = 2048
 #: Pieces packed together in one task.
 CHUNK = 24_000
+#: Bytes of texts that are encoded together.
+SLICE = 1 << 20
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int, order: np.ndarray) -> np.ndarray:
@@ -83,7 +85,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = bpe.encoder(vocabulary)
-        for part in shared.slices(batches, "text"):
+        for part in shared.slices(batches, "text", SLICE):
             keys, columns = [], ([], [], [], [])
             for at, ids in enumerate(tool.encode_batch([t or "" for t in part.column("text").to_pylist()])):
                 ids += tail

@@ -102,7 +102,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 <<
 
 def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with batches bounded in bytes, so that long texts don't add up. A worker that waits for its next task holds no
-    freed memory, and where no tools are needed none of other operators."""
+    freed memory, and after steps without tools none of any operator's."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     owner = step.__module__.rpartition(".")[2]
 
@@ -110,6 +110,8 @@ def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator
         if owner in WITHOUT_TOOLS:
             TwoGenerations.only(owner)
         yield from step(batches)
+        if owner in WITHOUT_TOOLS and owner in OWNED:
+            OWNED[owner]()
         trim()
 
     return df.mapInArrow(whole, schema)

@@ -44,7 +44,7 @@ PAIRS = 3
 #: Up to so many texts of a signature are compared each with each.
 FEW = 16
 #: Bytes of texts that are hashed together: arrays of about a hundred times that are held meanwhile.
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Shingles on both sides of a candidate that are compared as well, as a passage may go on beyond an edit.
 BESIDE = 23
 #: Bytes up to which a table about texts or keys is sent to every executor.
