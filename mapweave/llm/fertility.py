@@ -31,6 +31,8 @@ from . import shared
 
 SYMBOLS = "#*$%&|<>"
 MEMO = 120_000
+#: Bytes of texts that are measured together.
+SLICE = 1 << 20
 PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 
 #: Measures of which a text may have too little, or too much.
@@ -86,7 +88,9 @@ class Fertility:
 
 @cache
 def fertility() -> Fertility:
-    return Fertility()
+    out = Fertility()
+    shared.trim()
+    return out
 
 
 shared.OWNED["fertility"] = fertility.cache_clear
@@ -199,7 +203,7 @@ def rated(docs: DataFrame) -> DataFrame:
     kinds = [{"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[x.split()[1]] for x in SCHEMA.split(", ")[1:]]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in shared.slices(batches, "text"):
+        for part in shared.slices(batches, "text", SLICE):
             texts = part.column("text").to_pylist()
             m = measured(texts)
             m["kept"] = verdicts(m, texts, part.column("lang").to_pylist())
@@ -217,7 +221,7 @@ def kept(docs: DataFrame) -> DataFrame:
     schema = docs.schema
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in shared.slices(batches, "text"):
+        for part in shared.slices(batches, "text", SLICE):
             texts = part.column("text").to_pylist()
             langs = part.column("lang").to_pylist() if "lang" in schema.names else [None] * len(texts)
             yield part.filter(pa.array(verdicts(measured(texts), texts, langs), pa.bool_()))
