@@ -238,6 +238,10 @@ SIMILARITY, LANES = 0.8, 8
 #: Bits of a key and keys: each takes other bits of the fingerprint. Two sets at similarity s differ in a bit with probability
 #: p = arccos(2s / (1 + s)) / pi and share a key with probability 1 - (1 - (1 - p)^BITS)^KEYS or a little less: 98 % at 0.8.
 BITS, KEYS = 24, 256
+#: Keys whose smallest nodes are compared with the others first: what that connects isn't compared again.
+FIRST_KEYS = 16
+#: 64-bit words of a set's marks.
+MARKS = 16
 #: Differing bits, as a share, up to which the sets of a pair are compared: at the similarity 15 % differ, 19 % if the sets are tiny.
 FAR = 0.27
 #: Nodes of a key up to which all pairs are verified at once; with more each is compared with the smallest first.
@@ -265,6 +269,24 @@ def set_fingerprint(own: np.ndarray, lanes: int = LANES) -> bytes:
     return np.packbits(2 * ones > len(own)).tobytes()
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Native 64-bit words of a set: its fingerprint, its marks (a bit is 1 if it is named by the highest bits of some hash), its size."""
+    marked = np.zeros(64 * MARKS, bool)
+    marked[own >> np.uint64(64 - (64 * MARKS - 1).bit_length())] = True
+    return set_fingerprint(own) + np.packbits(marked).tobytes() + np.uint64(len(own)).tobytes()
+
+
+def may_be_alike(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets can be that similar by their sketches (n, words). Marks and sizes never reject sets that are: for each mark that
+    only one of them has it has a hash that the other lacks."""
+    lanes = x.shape[1] - MARKS - 1
+    sizes = [z[:, -1].astype(np.int64) for z in (x, y)]
+    mx, my = (z[:, lanes:-1] for z in (x, y))
+    only = [np.bitwise_count(z).sum(axis=1, dtype=np.int64) for z in (mx & ~my, my & ~mx)]
+    both = np.minimum(sizes[0] - only[0], sizes[1] - only[1])
+    return _linked(x[:, :lanes], y[:, :lanes], int(FAR * 64 * lanes)) & (both / (sizes[0] + sizes[1] - both) >= similarity)
+
+
 @cache
 def _places(bits: int, n: int, width: int) -> np.ndarray:
     """(n, bits): which of the fingerprint's bits each key takes, the same in every process."""
@@ -283,68 +305,73 @@ def sampled_keys(fps: list[bytes], bits: int = BITS, n: int = KEYS) -> np.ndarra
 
 
 def _noded(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node (id of the set of shingles) and fp (fingerprint of the set; null: an empty one), of every whole text."""
+    """doc_id, node (id of the set of shingles) and sketch (of the set; null: an empty one), of every whole text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared.TwoGenerations.only("simhash")
         for part in shared.slices(batches, "text"):
             sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
-            columns = [part.column("doc_id"), pa.array([set_id(x) for x in sets], pa.int64()), pa.array([set_fingerprint(x) if len(x) else None for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp"])
+            columns = [part.column("doc_id"), pa.array([set_id(x) for x in sets], pa.int64()), pa.array([sketch(x) if len(x) else None for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "sketch"])
 
     rows = docs.select("doc_id", "text")
-    return shared.map_arrow(rows, step, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, fp binary")
+    return shared.map_arrow(rows, step, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, sketch binary")
 
 
-def _sampled(distinct: DataFrame) -> DataFrame:
-    """key, node: the keys of every node's fingerprint."""
+def _sampled(distinct: DataFrame, n: int) -> DataFrame:
+    """key, node, root: the first n keys of every node's fingerprint."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
-                node, fp = whole.slice(at, 256).columns
-                keys = sampled_keys(fp.to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node.to_numpy(), keys.shape[1]))], ["key", "node"])
+                node, root, own = whole.slice(at, 256).columns
+                keys = sampled_keys([x[: 8 * LANES] for x in own.to_pylist()], n=n)
+                nodes, roots = (np.repeat(x.to_numpy(), n) for x in (node, root))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes), pa.array(roots)], ["key", "node", "root"])
 
-    return shared.map_arrow(distinct.where("fp IS NOT NULL").select("node", "fp"), step, "key long, node long")
+    return shared.map_arrow(distinct.where("sketch IS NOT NULL").select("node", "root", "sketch"), step, "key long, node long, root long")
 
 
-def _near(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose fingerprints differ in few bits, so that their sets are worth reading."""
-    fps = distinct.select("node", "fp")
+def _near(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b) those that may be alike by their sketches, so that their sets are worth reading."""
+    sketches = distinct.select("node", "sketch")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in "xy")
-            yield batch.select(["a", "b"]).filter(pa.array(_linked(x, y, int(FAR * 64 * x.shape[1]))))
+            yield batch.select(["a", "b"]).filter(pa.array(may_be_alike(x, y, similarity)))
 
-    rows = pairs.join(fps.toDF("a", "x"), "a").join(fps.toDF("b", "y"), "b")
+    rows = pairs.join(sketches.toDF("a", "x"), "a").join(sketches.toDF("b", "y"), "b")
     return shared.map_arrow(rows.select("a", "b", "x", "y"), step, "a long, b long")
 
 
-def _met_nodes(index: DataFrame, few: int) -> DataFrame:
-    """Of keys with few nodes all pairs (a, b); of the others each node with the smallest, and the rows (key, a)."""
+def _met_nodes(index: DataFrame, few: int | None) -> DataFrame:
+    """Pairs (a, b) of nodes with different roots: of keys with few nodes all; of the others each node with the smallest, and the
+    rows (key, a). few None: of all keys each node with the smallest, no rows."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[tuple[int, int]] = set()
-        of, lead = None, 0
+        of, lead = None, (0, 0)
 
         def out() -> pa.RecordBatch:
             pairs = np.array(sorted(held), np.int64).reshape(-1, 2)
             held.clear()
             return pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
 
-        for key, (node,), partial in runs(batches, 1_000_000):
-            nodes = node.tolist()
-            if partial or len(nodes) > few:
-                lead = lead if of == key else nodes[0]
+        for key, (node, root), partial in runs(batches, 1_000_000):
+            if not partial and (root == root[0]).all():
+                continue
+            if few is None or partial or len(node) > few:
+                lead = lead if of == key else (int(node[0]), int(root[0]))
                 of = key
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), key, np.int64)), pa.array(node), pa.nulls(len(node), pa.int64())], ["key", "a", "b"])
-                held.update((lead, x) for x in nodes if x != lead)
+                if few is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), key, np.int64)), pa.array(node), pa.nulls(len(node), pa.int64())], ["key", "a", "b"])
+                held.update((lead[0], x) for x in node[root != lead[1]].tolist())
             else:
-                held.update((x, y) for k, x in enumerate(nodes) for y in nodes[k + 1 :])
+                nodes = list(zip(node.tolist(), root.tolist(), strict=True))
+                held.update((x, y) for k, (x, r) in enumerate(nodes) for y, s in nodes[k + 1 :] if r != s)
             if len(held) > HELD:
                 yield out()
         yield out()
@@ -444,22 +471,34 @@ def _cells(rows: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float
     return shared.map_arrow(cells.repartition("cell").sortWithinPartitions("cell"), step, "a long, b long")
 
 
+def _verified(pairs: DataFrame, crowds: DataFrame | None, known: DataFrame, distinct: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Links: of the pairs (a, b) those whose sets are alike; and the sets of their nodes and of the crowds' nodes."""
+    near = shared.materialize(_near(pairs.distinct(), distinct, similarity), "pairs")
+    wanted = near.select(F.col("a").alias("node")).union(near.select("b"))
+    if crowds is not None:
+        wanted = wanted.union(crowds.select("node"))
+    wanted = shared.materialize(distinct.join(wanted.distinct(), "node").select(F.col("first").alias("doc_id"), "node"), "wanted")
+    sets = shared.materialize(_sets(known, wanted, width), "sets")
+    return shared.materialize(_alike(near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b"), similarity), "alike"), sets
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY, few: int = FEW, block: int = BLOCK) -> DataFrame:
     """doc_id and component_id of the documents whose component has a smaller doc_id; without null doc_ids.
 
     Candidates are sets whose SimHash fingerprints agree in all bits of a key; two documents are linked if the Jaccard
-    similarity of their sets of shingles, counted exactly, is at least that.
+    similarity of their sets of shingles, counted exactly, is at least that. Only the component matters: a first round
+    compares the nodes of FIRST_KEYS keys with the smallest of their key, the second one what is in different components.
     """
     known = docs.where(F.col("doc_id").isNotNull())
     rows = shared.materialize(_noded(known, width), "nodes")
-    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp")), "distinct")
-    met = shared.materialize(_met_nodes(_sampled(distinct), few), "met")
-    pairs = shared.materialize(_near(met.where("key IS NULL").select("a", "b").distinct(), distinct), "pairs")
+    distinct = shared.materialize(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")), "distinct")
+    first = _met_nodes(_sampled(distinct.withColumn("root", F.col("node")), min(FIRST_KEYS, KEYS)), None).select("a", "b")
+    links, _ = _verified(first, None, known, distinct, width, similarity)
+    rooted = distinct.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    met = shared.materialize(_met_nodes(_sampled(rooted, KEYS), few), "met")
     crowds = met.where("key IS NOT NULL").select("key", F.col("a").alias("node"))
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowds.select("node")).distinct()
-    wanted = shared.materialize(distinct.join(wanted, "node").select(F.col("first").alias("doc_id"), "node"), "wanted")
-    sets = shared.materialize(_sets(known, wanted, width), "sets")
-    links = shared.materialize(_alike(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b"), similarity), "alike")
+    more, sets = _verified(met.where("key IS NULL").select("a", "b"), crowds, known, distinct, width, similarity)
+    links = links.union(more)
     roots = components(links)
     if crowds.take(1):
         roots = components(links.union(_cells(crowds, roots, sets, similarity, block)))

@@ -392,6 +392,24 @@ def test_near_duplicates_meet_by_their_fingerprints():
     assert simhash.jaccard(x, y) == 0.8 and met >= 190
 
 
+def test_sketches_reject_no_sets_that_are_alike():
+    """By marks and sizes alone, at lengths from a few shingles to more than there are marks."""
+    rng = np.random.default_rng(6)
+    rejected = 0
+    for n in (1, 5, 40, 300, 5000):
+        for k in range(60):
+            h = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * np.uint64(2) + np.uint64(k % 2)
+            a, b = sorted(rng.integers(0, n // 3 + 1, 2).tolist())
+            x, y = np.unique(h[:n]), np.unique(h[a : n + b])
+            sx, sy = (np.frombuffer(simhash.sketch(z), np.uint64)[None] for z in (x, y))
+            sy = np.concatenate([sx[:, : simhash.LANES], sy[:, simhash.LANES :]], axis=1)  # as if the fingerprints were the same
+            for similarity in (0.8, simhash.jaccard(x, y)):
+                may = bool(simhash.may_be_alike(sx, sy, similarity)[0])
+                assert may or simhash.jaccard(x, y) < similarity
+                rejected += not may
+    assert rejected >= 40
+
+
 def test_a_worker_frees_what_its_task_does_not_need(monkeypatch):
     """A task of the passages frees the vocabularies before it begins, and all trim when they end."""
     seen = []

@@ -333,6 +333,24 @@ def test_crowded_keys_lose_no_links(spark):
     assert len(set(want.values())) > 30 and {i: got.get(i, i) for i, _ in rows} == want
 
 
+def test_pairs_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    """A large group of near copies is compared until it is one component, not pair by pair, and neither are copies too far off."""
+    made = []
+    for name in ("_near", "_alike"):
+        monkeypatch.setattr(simhash, name, lambda *a, real=getattr(simhash, name): made.append(real(*a)) or made[-1])
+    template, rng, rows = words(200, 11), np.random.default_rng(12), []
+    for k in range(400):
+        text = list(template)
+        for at in rng.choice(200, 2 if k < 300 else 10, replace=False):
+            text[at] = f"w{rng.integers(1 << 40)}"
+        rows.append((k, " ".join(text)))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs(spark, rows)).collect()}
+    want = exact_components(rows)
+    assert sum(x == 0 for x in want.values()) >= 300 and {i: got.get(i, i) for i, _ in rows} == want
+    n_made = sum(x.count() for x in made)
+    assert n_made < 20 * len(rows), n_made
+
+
 def test_texts_below_the_threshold_stay(spark):
     rows = copies_at(0.7, 60, 5000) + copies_at(0.75, 60, 6000) + copies_at(0.78, 60, 7000)
     template = words(160, 9)
